@@ -34,7 +34,7 @@ def _headers(feeds):
     return feeds.view("uploads").withColumnRenamed("column_name", "column")
 
 
-@query("onb02_scores", f"with {SCORES} select dataset, type, matched, score from scored")
+@query("onb02_scores", f"with {SCORES} select dataset, type, cast(matched as int) as matched, score from scored")
 def onb02_scores(feeds):
     return onboard.scores(_headers(feeds)).select("dataset", "type", "matched", "score")
 

@@ -202,7 +202,7 @@ def dq12(feeds):
 @query("onb01_profile", """
 with c as (select count(*) as n, count(*) filter (where region is null)+count(*) filter (where quantity is null)
   +count(*) filter (where unit_price is null) as nulls from erp_raw),
-d as (select cast(sum(k-1) as bigint) as dup from (select count(*) as k from erp_raw group by all))
+d as (select cast(sum(k-1) as bigint) as dup from (select *, count(*) as k from erp_raw group by all))
 select n as rows, 10 as columns, round_even(nulls::double/(n*10)*100, 2) as null_rate,
   round_even(dup::double/n*100, 2) as dup_rate, 'order_id,customer_id,product_id,ord2,ord3' as numeric_fields,
   'order_date,ord1' as date_fields, 'quantity,region,unit_price' as categorical_fields from c, d""")
@@ -214,7 +214,7 @@ def onb01(feeds):
 
 @query("onb01_profile_counts", """
 with c as (select count(*) as n from narrow_sales),
-d as (select cast(sum(k-1) as bigint) as dup from (select count(*) as k from narrow_sales group by all))
+d as (select cast(sum(k-1) as bigint) as dup from (select *, count(*) as k from narrow_sales group by all))
 select n as rows, 3 as columns, 0.0::double as null_rate, round_even(dup::double/n*100, 2) as dup_rate,
   2 as numeric_count, 1 as date_count, 0 as categorical_count from c, d""")
 def onb01_counts(feeds):
