@@ -82,8 +82,8 @@ def two_places(value: Column) -> Column:
     bits = scaled.cast("bigint")
     whole, part = F.shiftright(bits, 52), bits.bitwiseAND(F.lit(2 ** 52 - 1)) * 100
     cents, rest = F.shiftright(part, 52), part.bitwiseAND(F.lit(2 ** 52 - 1))
-    half = F.lit(2 ** 51)
-    up = (rest > half) | ((rest == half) & ((bits.cast("double") != scaled) | (cents % 2 == 1)))
+    over = (rest - F.lit(2 ** 51)).cast("double") + (scaled - bits.cast("double")) * 100
+    up = (over > 0) | ((over == 0) & (cents % 2 == 1))
     total = whole * 100 + cents + F.when(up, 1).otherwise(0)
     digits = F.lpad(total.cast("string"), 3, "0")
     digits = F.when(total >= 100, total.cast("string")).otherwise(digits)
