@@ -31,10 +31,8 @@ def parse_ts(col: Column, strict: bool = False, dtype: DataType | None = None) -
         text.rlike(r"^\d{1,2}/"), _as_ntz(numeric)).otherwise(F.coalesce(*named))
     if not strict:
         return parsed
-    return F.when(
-        text.isNotNull() & parsed.isNull(),
-        F.raise_error(F.concat(F.lit("not a date: "), text)).cast("timestamp_ntz"),
-    ).otherwise(parsed)
+    bad = F.raise_error(F.concat(F.lit("not a date: "), text)).cast("timestamp_ntz")
+    return F.coalesce(parsed, F.when(text.isNotNull(), bad))
 
 
 def date_id(ts: Column) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DataType, DoubleType, FloatType, NumericType, StringType
 
@@ -47,8 +47,8 @@ def as_id(col: Column, dtype: DataType | None = None) -> Column:
         return col
     text = F.btrim(col.cast("string"))
     whole = F.coalesce(text.try_cast("bigint"), to_number(col).try_cast("bigint"))
-    return F.when(text.isNotNull() & whole.isNull(),
-                  F.raise_error(F.concat(F.lit("not a key: "), text)).cast("bigint")).otherwise(whole)
+    bad = F.raise_error(F.concat(F.lit("not a key: "), text)).cast("bigint")
+    return F.coalesce(whole, F.when(text.isNotNull(), bad))
 
 
 def differs(old: Column, new: Column, tolerance: float | None = None, null_safe: bool = False) -> Column:
@@ -72,19 +72,23 @@ def percent_score(bad: Column, total: Column) -> Column:
     return F.when(total > 0, ratio.cast("int")).otherwise(F.lit(100))
 
 
-def two_places(value: Column) -> Column:
-    """A value from 0 up as text with two places, rounded by its exact binary value, ties to even.
+def with_two_places(df: DataFrame, value: str, out: str) -> DataFrame:
+    """Adds a value from 0 up as text with two places, rounded by its exact binary value, ties to even.
 
     ``format_string`` rounds the shortest decimal form half up, which differs for values such as
-    3.315; here whole part and fraction are split into integers (52 binary places).
+    3.315; here whole part and fraction are split into integers (52 binary places), one step per
+    projection so that no step is computed twice.
     """
-    scaled = value * F.lit(float(2 ** 52))
-    bits = scaled.cast("bigint")
-    whole, part = F.shiftright(bits, 52), bits.bitwiseAND(F.lit(2 ** 52 - 1)) * 100
-    cents, rest = F.shiftright(part, 52), part.bitwiseAND(F.lit(2 ** 52 - 1))
-    over = (rest - F.lit(2 ** 51)).cast("double") + (scaled - bits.cast("double")) * 100
-    up = (over > 0) | ((over == 0) & (cents % 2 == 1))
-    total = whole * 100 + cents + F.when(up, 1).otherwise(0)
-    digits = F.lpad(total.cast("string"), 3, "0")
-    digits = F.when(total >= 100, total.cast("string")).otherwise(digits)
-    return F.concat(F.regexp_replace(digits, r"..$", ""), F.lit("."), F.right(digits, F.lit(2)))
+    mask = F.lit(2 ** 52 - 1)
+    steps = df.withColumn("__s", F.col(value) * F.lit(float(2 ** 52)))
+    steps = steps.withColumn("__b", F.col("__s").cast("bigint"))
+    steps = steps.withColumn("__p", F.col("__b").bitwiseAND(mask) * 100)
+    steps = steps.withColumns({
+        "__c": F.shiftright("__b", 52) * 100 + F.shiftright("__p", 52),
+        "__o": (F.col("__p").bitwiseAND(mask) - F.lit(2 ** 51)).cast("double")
+        + (F.col("__s") - F.col("__b").cast("double")) * 100})
+    up = (F.col("__o") > 0) | ((F.col("__o") == 0) & (F.col("__c") % 2 == 1))
+    steps = steps.withColumn("__c", F.col("__c") + F.when(up, 1).otherwise(0))
+    text = F.concat(F.expr("cast(__c div 100 as string)"), F.lit("."),
+                    F.lpad((F.col("__c") % 100).cast("string"), 2, "0"))
+    return steps.withColumn(out, text).drop("__s", "__b", "__p", "__c", "__o")

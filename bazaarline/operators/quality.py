@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, NumericType
 
 from .. import schemas
-from ..functions.numbers import pct_of, to_number, two_places
+from ..functions.numbers import pct_of, to_number, with_two_places
 
 
 class QualityError(ValueError):
@@ -128,39 +128,42 @@ def run_suite(df: DataFrame, dataset: str, rules: Sequence[Rule]) -> DataFrame:
     def n(name: str) -> Column:
         return F.col(f"`{name}`")
 
+    none, zero = F.lit(None).cast("string"), F.lit(0).cast("bigint")
     out = []
     for rule in rules:
         missing = [c for c in _rule_cols(rule) if c not in df.columns]
+        found, template, note = zero, none, none
         if missing:
-            passed, details = F.lit(False), F.lit(f"Column missing: {missing}")
-        elif isinstance(rule, NotNull):
-            found = n(f"null:{rule.col}")
-            passed, details = found == 0, F.format_string("Found %d nulls", found)
-        elif isinstance(rule, Unique):
-            found = n("dup:" + ",".join(rule.cols))
-            passed, details = found == 0, F.format_string("Found %d duplicates", found)
-        elif isinstance(rule, Between):
-            found = n(f"range:{rule.col}:{rule.lo}:{rule.hi}")
-            passed, details = found == 0, F.format_string("Found %d out of range values", found)
+            passed, note = F.lit(False), F.lit(f"Column missing: {missing}")
+        elif isinstance(rule, (NotNull, Unique, Between)):
+            name, text = {
+                NotNull: lambda r: (f"null:{r.col}", "Found {n} nulls"),
+                Unique: lambda r: ("dup:" + ",".join(r.cols), "Found {n} duplicates"),
+                Between: lambda r: (f"range:{r.col}:{r.lo}:{r.hi}", "Found {n} out of range values"),
+            }[type(rule)](rule)
+            found, template = n(name), F.lit(text)
+            passed = found == 0
         elif isinstance(rule, NullPct):
-            found = n(f"null:{rule.col}")
-            share = pct_of(found, n("__rows"))
-            passed = share <= F.lit(float(rule.max_pct))
-            details = F.format_string("Actual null percent: %s%% (%d nulls)", two_places(share * 100), found)
+            found, template = n(f"null:{rule.col}"), F.lit("Actual null percent: {pct}% ({n} nulls)")
+            passed = pct_of(found, n("__rows")) <= F.lit(float(rule.max_pct))
         elif isinstance(rule, DupPct):
             found = n("dup:" + ",".join(rule.cols))
-            share = pct_of(found, n("__rows"))
-            passed = share <= F.lit(float(rule.max_pct))
-            details = F.format_string("Actual duplicate percent: %s%% (%d duplicates)", two_places(share * 100), found)
+            template = F.lit("Actual duplicate percent: {pct}% ({n} duplicates)")
+            passed = pct_of(found, n("__rows")) <= F.lit(float(rule.max_pct))
         elif isinstance(rule, HasColumns):
             absent = [c for c in rule.cols if c not in df.columns]
-            passed, details = F.lit(not absent), F.lit(f"Missing columns: {absent}" if absent else "")
+            passed, note = F.lit(not absent), F.lit(f"Missing columns: {absent}" if absent else "")
         else:
             present = rule.col in df.columns
-            passed, details = F.lit(present), F.lit("" if present else "Column missing")
-        out.append(F.struct(F.lit(dataset).alias("dataset"), F.lit(_title(rule)).alias("expectation"),
-                            passed.alias("passed"), details.alias("details")))
-    return stats.select(F.inline(F.array(*out)))
+            passed, note = F.lit(present), F.lit("" if present else "Column missing")
+        out.append(F.struct(F.lit(_title(rule)).alias("expectation"), passed.alias("passed"), found.alias("found"),
+                            template.alias("template"), note.alias("note")))
+    # one short projection over the few result rows turns the counts into text
+    results = stats.select("__rows", F.inline(F.array(*out))).withColumn("__pct", pct_of(F.col("found"), F.col("__rows")) * 100)
+    results = with_two_places(results, "__pct", "__text")
+    text = F.replace(F.col("template"), F.lit("{n}"), F.col("found").cast("string"))
+    details = F.coalesce("note", F.replace(text, F.lit("{pct}"), F.col("__text")))
+    return results.select(F.lit(dataset).alias("dataset"), "expectation", "passed", details.alias("details"))
 
 
 # Limits of the standard suites.

@@ -6,6 +6,7 @@ import json
 import os
 from collections.abc import Mapping
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -97,6 +98,6 @@ def onboard(spark: SparkSession, lake: Lake, upload_dir: str, run_id: str, load_
         run_medallion(spark, lake, inputs, run_id, load_ts, stores, files=files)
     names = [(n, [c for c in df.columns if c not in POSITION]) for n, df in frames.items()]
     ledger.track_schema(spark.createDataFrame(names, "dataset_name string, columns array<string>"))
-    for entry in entries:
-        ledger.register(entry)
+    if entries:
+        ledger.register(reduce(lambda a, b: a.unionByName(b), entries))
     return ledger.registry().filter(F.col("dataset_name").isin(list(frames)))

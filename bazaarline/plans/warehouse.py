@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas
 from ..operators import audit, clean, facts, gold, scd
 from ..operators.rows import dedup, upsert
+from ..session import counted, row_count
 from ..sources.lake import Lake
 from ..sources.tables import publish_gold
 
@@ -69,12 +70,11 @@ def load_facts(lake: Lake, run_id: str) -> dict[str, int]:
 
 def _append(lake: Lake, new: DataFrame, name: str) -> int:
     """Append facts by month. Rows are gathered per month first, so a load writes few files."""
-    seen = Observation()
     rows = schemas.fit(new, name).withColumn("date_month", F.expr("date_id div 100"))
-    counted = rows.observe(seen, F.count(F.lit(1)).alias("rows"))
-    counted.hint("rebalance", "date_month").write.mode("append").partitionBy("date_month").parquet(
+    watched, seen = counted(rows)
+    watched.hint("rebalance", "date_month").write.mode("append").partitionBy("date_month").parquet(
         lake.path("warehouse", name))
-    return seen.get["rows"]
+    return row_count(seen, rows)
 
 
 def build_gold(lake: Lake) -> dict[str, str]:

@@ -6,7 +6,9 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 
 def get_session(app: str = "bazaarline", master: str | None = None, **conf: str) -> SparkSession:
@@ -52,3 +54,17 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     path = os.path.join(shared_dir(spark), "bazaarline", f"{label}-{uuid.uuid4().hex}")
     df.write.mode("errorifexists").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def counted(df: DataFrame, **metrics) -> tuple[DataFrame, Observation]:
+    """``df`` with its row count (and further aggregates) observed by the next action on it."""
+    seen = Observation()
+    return df.observe(seen, F.count(F.lit(1)).alias("rows"), *[c.alias(n) for n, c in metrics.items()]), seen
+
+
+def row_count(seen: Observation, df: DataFrame) -> int:
+    """Rows of the observed action. Spark drops the counter where it finds the input empty."""
+    try:
+        return seen.get["rows"]
+    except Py4JJavaError:
+        return 0 if df.isEmpty() else df.count()

@@ -26,11 +26,13 @@ class Lake:
 
     def read(self, layer: str, name: str, schema=None) -> DataFrame | None:
         """The dataset, or None where it does not exist (or holds no file yet)."""
+        if not self.exists(layer, name):
+            return None
         reader = self.spark.read if schema is None else self.spark.read.schema(schema)
         try:
             return reader.parquet(self.path(layer, name))
         except AnalysisException as error:
-            if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            if error.getCondition() == "UNABLE_TO_INFER_SCHEMA":
                 return None
             raise
 
@@ -49,6 +51,10 @@ class Lake:
         df.drop(column).write.mode("overwrite").parquet(path)
         return path
 
+    def exists(self, layer: str, name: str) -> bool:
+        fs, path = self._fs(self.path(layer, name))
+        return fs.exists(path)
+
     # -- snapshot tables ---------------------------------------------------------------
 
     def _fs(self, path: str):

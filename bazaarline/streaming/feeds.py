@@ -28,10 +28,10 @@ def stream_bronze(spark: SparkSession, src: str, lake: Lake, source: str, checkp
     rows = spark.readStream.schema(text).option("header", True).option("escape", '"').csv(src)
     rows = rows.select(*[null_tokens(F.col(n)).alias(n) for n in names],
                        F.col("_metadata.file_path").alias("_file"),
-                       F.col("_metadata.file_block_start").alias("_block"),
-                       F.monotonically_increasing_id().alias("_pos"))
+                       F.col("_metadata.file_block_start").alias("_block"))
 
     def land(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.withColumn("_pos", F.monotonically_increasing_id())
         lake.replace_partition(batch, "bronze", source, "run_id", f"{run_id}-{batch_id:09d}")
 
     return rows.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint) \

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from bazaarline import functions as fn
-from bazaarline.functions.numbers import two_places
+from bazaarline.functions.numbers import with_two_places
 
 
 def column(spark, values, kind="string"):
@@ -112,4 +112,5 @@ def test_two_places_as_python(spark):
     rng = random.Random(7)
     values = [0.0, 3.315, 0.125, 0.375, 2.675, 100.0, 99.995, 0.005, 0.015, 1.005, 33.335]
     values += [rng.randint(0, 60000) / 60000 * 100 for _ in range(500)]
-    assert apply(spark, values, two_places, "double") == [f"{v:.2f}" for v in values]
+    got = with_two_places(column(spark, values, "double"), "x", "y").orderBy("i").collect()
+    assert [r.y for r in got] == [f"{v:.2f}" for v in values]
