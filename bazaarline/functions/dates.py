@@ -10,6 +10,10 @@ from pyspark.sql.types import DataType, DateType, TimestampNTZType, TimestampTyp
 DATE_FORMATS = ["MMM d yyyy", "MMM d, yyyy", "MMMM d, yyyy", "d MMM yyyy", "d-MMM-yyyy"]
 
 
+# A month name and a year; anything else would only fail format by format.
+_NAMED = r"^([A-Za-z]{3,9} \d{1,2},? \d{4}|\d{1,2}[ -][A-Za-z]{3,9}[ -]\d{4})$"
+
+
 def _as_ntz(text: Column) -> Column:
     return text.try_cast("timestamp_ntz")
 
@@ -28,7 +32,7 @@ def parse_ts(col: Column, strict: bool = False, dtype: DataType | None = None) -
     numeric = F.regexp_replace(numeric, r"^(\d{4})(\d{2})(\d{2})$", "$1-$2-$3")
     named = [F.try_to_date(text, f).cast("timestamp_ntz") for f in DATE_FORMATS]
     parsed = F.when(text.rlike(r"^\d{4}"), F.coalesce(_as_ntz(text), _as_ntz(numeric))).when(
-        text.rlike(r"^\d{1,2}/"), _as_ntz(numeric)).otherwise(F.coalesce(*named))
+        text.rlike(r"^\d{1,2}/"), _as_ntz(numeric)).when(text.rlike(_NAMED), F.coalesce(*named))
     if not strict:
         return parsed
     bad = F.raise_error(F.concat(F.lit("not a date: "), text)).cast("timestamp_ntz")

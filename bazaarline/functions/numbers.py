@@ -13,6 +13,14 @@ NUMBER_TEXT = (
     r"^\s*[+-]?(([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?|(?i:inf(inity)?))\s*$"
 )
 
+_DIGITS = r"^\s*[+-]?[0-9]{1,19}\s*$"
+
+
+def to_whole(text: Column) -> Column:
+    """Integer text as ``bigint``, else NULL. The pattern keeps other text away from the cast,
+    which would raise and catch an exception for every such cell."""
+    return F.when(text.rlike(_DIGITS), F.btrim(text).try_cast("bigint"))
+
 
 def to_number(col: Column, dtype: DataType | None = None) -> Column:
     """``col`` as a number, NULL where it is none. Numeric columns keep their type."""
@@ -37,7 +45,7 @@ def coerce_num(col: Column, to_int: bool = False, dtype: DataType | None = None)
         return F.coalesce(number, zero)
     whole = number.cast("bigint")
     if dtype is None or isinstance(dtype, StringType):
-        whole = F.coalesce(F.btrim(col.cast("string")).try_cast("bigint"), whole)
+        whole = F.coalesce(to_whole(col.cast("string")), whole)
     return F.coalesce(whole, F.lit(0).cast("bigint"))
 
 
@@ -46,7 +54,7 @@ def as_id(col: Column, dtype: DataType | None = None) -> Column:
     if dtype is not None and not isinstance(dtype, StringType):
         return col
     text = F.btrim(col.cast("string"))
-    whole = F.coalesce(text.try_cast("bigint"), to_number(col).try_cast("bigint"))
+    whole = F.coalesce(to_whole(text), to_number(col).try_cast("bigint"))
     bad = F.raise_error(F.concat(F.lit("not a key: "), text)).cast("bigint")
     return F.coalesce(whole, F.when(text.isNotNull(), bad))
 

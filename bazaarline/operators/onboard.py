@@ -25,34 +25,46 @@ def _normal(col):
     return F.btrim(F.lower(col))
 
 
+# Every template field has one bit, so the matches of a dataset fit in one integer.
+_BITS = {(t, f): n for n, (t, f) in enumerate((t, f) for t, fields in templates.TEMPLATES.items() for f in fields)}
+
+
+def _name_masks(spark: SparkSession) -> DataFrame:
+    """One row per synonym with the bits of all fields it stands for."""
+    masks: dict[str, int] = {}
+    for t, fields in templates.TEMPLATES.items():
+        for field, (_, synonyms) in fields.items():
+            for name in synonyms:
+                masks[name] = masks.get(name, 0) | 1 << _BITS[t, field]
+    return spark.createDataFrame(list(masks.items()), "synonym string, bits bigint")
+
+
 def _options(columns: DataFrame) -> DataFrame:
     """Per dataset the five templates as an array, best score first (ties: template order).
 
-    ``columns`` holds (dataset, filename, column). Names are matched against the fixed synonym
-    list (broadcast) and folded into one set of at most all template fields per dataset, so
-    there is a single shuffle, on the dataset, that combines first.
+    ``columns`` holds (dataset, filename, column), one file name per dataset. Names are looked
+    up in the fixed synonym list (broadcast); the matches of a dataset are OR-ed into one
+    integer, which hashes and combines before the only shuffle, on the dataset.
     """
-    syn = F.broadcast(templates.synonyms_frame(columns.sparkSession).select("type", "field", "synonym"))
-    named = columns.join(syn, _normal(F.col("column")) == F.col("synonym"), "left")
-    found = F.collect_set(F.when(F.col("field").isNotNull(), F.struct("type", "field")))
-    sets = named.groupBy("dataset").agg(F.min("filename").alias("filename"), found.alias("found"))
+    masks = F.broadcast(_name_masks(columns.sparkSession))
+    named = columns.join(masks, _normal(F.col("column")) == F.col("synonym"), "left")
+    found = named.groupBy("dataset", "filename").agg(F.coalesce(F.bit_or("bits"), F.lit(0)).alias("bits"))
     options = []
     for rank, (name, fields) in enumerate(templates.TEMPLATES.items()):
-        mine = F.array_sort(F.transform(F.filter("found", _of_type(name)), lambda m: m["field"]))
+        bits = {f: 1 << _BITS[name, f] for f in fields}
+        matched = F.bit_count(F.col("bits").bitwiseAND(F.lit(sum(bits.values()))))
+        mine = F.array_compact(F.array(*[
+            F.when(F.col("bits").bitwiseAND(F.lit(b)) != 0, F.lit(f)) for f, b in bits.items()]))
         hit = F.lit(False)
         for word in templates.KEYWORDS[name]:
             hit = hit | F.lower(F.col("filename")).contains(word)
-        share = F.size(mine).cast("double") / F.lit(len(fields))
+        share = matched.cast("double") / F.lit(len(fields))
         raw = share * F.lit(COLUMN_WEIGHT) + F.when(hit, F.lit(FILENAME_WEIGHT)).otherwise(F.lit(0.0))
         score = (raw * F.lit(100)).cast("int")
         options.append(F.struct((-score).alias("order"), F.lit(rank).alias("type_rank"), F.lit(name).alias("type"),
-                                score.alias("score"), F.size(mine).alias("matched"), mine.alias("fields"),
+                                score.alias("score"), matched.alias("matched"), mine.alias("fields"),
                                 hit.alias("fn_matched")))
-    return sets.select("dataset", "filename", F.array_sort(F.array(*options)).alias("options"))
-
-
-def _of_type(name: str):
-    return lambda member: member["type"] == name
+    return found.select("dataset", "filename", F.sort_array(F.array(*options)).alias("options"))
 
 
 def scores(columns: DataFrame) -> DataFrame:

@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, NumericType
 
 from ..functions.dates import parse_ts
-from ..functions.numbers import to_number
+from ..functions.numbers import to_number, to_whole
+from ..session import materialise
 from .quality import _missing
+from .skew import fits_broadcast
 
 SAMPLE = 5
 
@@ -19,14 +21,19 @@ SAMPLE = 5
 def duplicate_row_count(df: DataFrame) -> DataFrame:
     """Whole-row duplicates (rows beyond the first of their kind) as one row.
 
-    A 64-bit row hash is counted first, so only 8 bytes per row are shuffled; just the rows
-    whose hash occurs more than once are then compared in full, which keeps the count exact.
+    A 64-bit hash of every row is counted first, so 8 bytes per row are shuffled. If the list
+    of repeated hashes turns out small enough to broadcast, only rows with such a hash are
+    compared in full; otherwise all rows are. Both ways the count is exact.
     """
     cols = [F.col(f"`{c}`") for c in df.columns]
-    hashed = df.select(*cols, F.xxhash64(*cols).alias("__h"))
-    repeated = hashed.groupBy("__h").agg(F.count(F.lit(1)).alias("__n")).filter("__n > 1").select("__h")
-    suspects = hashed.join(repeated, "__h", "left_semi").groupBy(*cols).agg(F.count(F.lit(1)).alias("__n"))
-    return suspects.agg(F.coalesce(F.sum(F.col("__n") - 1), F.lit(0)).cast("bigint").alias("duplicates"))
+    repeated = materialise(df.select(F.xxhash64(*cols).alias("__h")).groupBy("__h").agg(
+        F.count(F.lit(1)).alias("__n")).filter("__n > 1").select("__h"), "repeated_rows")
+    suspects = df
+    if fits_broadcast(repeated):
+        hashed = df.select(*cols, F.xxhash64(*cols).alias("__h"))
+        suspects = hashed.join(F.broadcast(repeated), "__h", "left_semi")
+    return suspects.groupBy(*cols).agg(F.count(F.lit(1)).alias("__n")).agg(
+        F.coalesce(F.sum(F.col("__n") - 1), F.lit(0)).cast("bigint").alias("duplicates"))
 
 
 def date_like(df: DataFrame, columns: Sequence[str], order_by: Sequence[str] = ()) -> DataFrame:
@@ -100,7 +107,7 @@ def infer_types(df: DataFrame) -> DataFrame:
         value = F.btrim(F.col(f"`{name}`"))
         present = value.isNotNull()
         checks += [
-            F.count_if(present & value.try_cast("bigint").isNull()).alias(f"bigint:{name}"),
+            F.count_if(present & to_whole(value).isNull()).alias(f"bigint:{name}"),
             F.count_if(present & to_number(value).isNull()).alias(f"double:{name}"),
             F.count_if(present & ~value.isin("True", "False", "TRUE", "FALSE", "true", "false")).alias(f"boolean:{name}"),
             F.count_if(~present).alias(f"null:{name}"), F.count_if(present).alias(f"some:{name}"),
@@ -116,6 +123,6 @@ def infer_types(df: DataFrame) -> DataFrame:
             types[name] = "double"
         elif seen[f"boolean:{name}"] == 0 and not seen[f"null:{name}"]:
             types[name] = "boolean"
-    casts = {n: (to_number(F.col(f"`{n}`")) if t == "double" else F.btrim(F.col(f"`{n}`")).try_cast(t))
+    casts = {n: (to_number(F.col(f"`{n}`")) if t == "double" else to_whole(F.col(f"`{n}`")) if t == "bigint" else F.btrim(F.col(f"`{n}`")).try_cast(t))
              for n, t in types.items()}
     return df.withColumns(casts)

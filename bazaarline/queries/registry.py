@@ -7,6 +7,7 @@ from collections.abc import Callable
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from ..operators import clean, facts, gold
 from .views import BASE_TABLES, VIEWS
@@ -14,6 +15,9 @@ from .views import BASE_TABLES, VIEWS
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
+# Layouts of the tables read so far, as a catalog would keep them: no footer is read twice.
+_LAYOUTS: dict[str, StructType] = {}
+
 _WORD = re.compile(r"[a-z_][a-z_0-9]*")
 
 
@@ -55,7 +59,10 @@ class Feeds:
         self.view = cache(self._view)
 
     def _table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        path = f"{self.folder}/{name}.parquet"
+        if path not in _LAYOUTS:
+            _LAYOUTS[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(_LAYOUTS[path]).parquet(path)
 
     def _view(self, name: str) -> DataFrame:
         return self.sql(VIEWS[name])
