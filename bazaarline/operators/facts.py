@@ -30,12 +30,16 @@ def extend_calendar(dim_date: DataFrame, *dates: tuple[DataFrame, str]) -> DataF
 
 
 def with_date_id(df: DataFrame, ts: str, dim_date: DataFrame | None = None) -> DataFrame:
-    """Adds ``date_id``: the calendar's key of the day, or the computed one where it has none."""
+    """Adds ``date_id``: the calendar's key of the day, or the computed one where it has none.
+
+    The calendar holds one row per day, at most some 3.65 million for all years 1 to 9999, so
+    it is broadcast: a busy day never gathers in one task.
+    """
     computed = fn.date_id(F.col(ts))
     if dim_date is None:
         return df.withColumn("date_id", computed)
     days = dim_date.select(F.col("full_date").alias("__day"), F.col("date_id").alias("__date_id"))
-    joined = df.join(days, F.to_date(ts) == F.col("__day"), "left")
+    joined = df.join(F.broadcast(days), F.to_date(ts) == F.col("__day"), "left")
     return joined.withColumn("date_id", F.coalesce("__date_id", computed)).drop("__day", "__date_id")
 
 

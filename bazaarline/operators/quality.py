@@ -135,13 +135,15 @@ def run_suite(df: DataFrame, dataset: str, rules: Sequence[Rule]) -> DataFrame:
         found, template, note = zero, none, none
         if missing:
             passed, note = F.lit(False), F.lit(f"Column missing: {missing}")
-        elif isinstance(rule, (NotNull, Unique, Between)):
-            name, text = {
-                NotNull: lambda r: (f"null:{r.col}", "Found {n} nulls"),
-                Unique: lambda r: ("dup:" + ",".join(r.cols), "Found {n} duplicates"),
-                Between: lambda r: (f"range:{r.col}:{r.lo}:{r.hi}", "Found {n} out of range values"),
-            }[type(rule)](rule)
-            found, template = n(name), F.lit(text)
+        elif isinstance(rule, NotNull):
+            found, template = n(f"null:{rule.col}"), F.lit("Found {n} nulls")
+            passed = found == 0
+        elif isinstance(rule, Unique):
+            found, template = n("dup:" + ",".join(rule.cols)), F.lit("Found {n} duplicates")
+            passed = found == 0
+        elif isinstance(rule, Between):
+            found = n(f"range:{rule.col}:{rule.lo}:{rule.hi}")
+            template = F.lit("Found {n} out of range values")
             passed = found == 0
         elif isinstance(rule, NullPct):
             found, template = n(f"null:{rule.col}"), F.lit("Actual null percent: {pct}% ({n} nulls)")

@@ -27,7 +27,7 @@ def fits_broadcast(df: DataFrame) -> bool:
 
 
 def spread_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner",
-                condition: Column | None = None, hot_rows: int = HOT_ROWS, salts: int = SALTS) -> DataFrame:
+                condition: Column | None = None, hot_rows: int | None = None, salts: int = SALTS) -> DataFrame:
     """Equi join of a large ``left`` with a lookup ``right`` (inner or left).
 
     ``condition`` may use ``l.<col>`` and ``r.<col>``. Right key columns are dropped.
@@ -47,7 +47,7 @@ def spread_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str
         return joined.drop(*r_names.values())
 
     hot = left.dropna(subset=keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")) \
-        .filter(F.col("__n") >= hot_rows).select(*keys, F.lit(True).alias("__hot"))
+        .filter(F.col("__n") >= (hot_rows or HOT_ROWS)).select(*keys, F.lit(True).alias("__hot"))
     no_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
     dealt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in left.columns]), F.lit(salts)).cast("int")
     salted = left.join(F.broadcast(hot), keys, "left").withColumn(

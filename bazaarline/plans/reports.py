@@ -91,7 +91,7 @@ def point_in_time(fact_orders: DataFrame, dim_customer: DataFrame, dim_product:
     out = spread_join(fact_orders, dim_customer.select("customer_sk", "customer_id", "segment", "effective_date",
                                                        "end_date"), ["customer_sk"])
     out = spread_join(out, dim_product.select("product_sk", "product_name"), ["product_sk"])
-    out = out.join(dim_date.select("date_id", "full_date"), "date_id")
+    out = out.join(F.broadcast(dim_date.select("date_id", "full_date")), "date_id")  # one row per day
     return out.select("order_id", F.col("full_date").alias("order_date"), "customer_id", "segment", "effective_date",
                       "end_date", "product_name")
 
