@@ -117,10 +117,17 @@ def to_silver(lake: Lake, source: str, run_id: str, order_by: Order = ("_file",
     bronze = lake.read("bronze", f"{source}/run_id={run_id}")
     if bronze is None:
         return None
+    return lake.replace_partition(clean_delivery(bronze, source, order_by), "silver", source, "run_id", run_id)
+
+
+def clean_delivery(bronze: DataFrame, source: str, order_by: Order = ("_file", "_block", "_pos")) -> DataFrame:
+    """Cleaned rows of one delivery. Its line positions decide which copy is first; a delivery
+    without positions is ordered by its values, so the result does not depend on task timing."""
     helpers = [c for c in bronze.columns if c.startswith("_")]
-    order = [c for c in order_by if c in bronze.columns]
-    silver = clean(bronze, source, order) if source in CLEANERS else clean(bronze.drop(*helpers), source)
-    return lake.replace_partition(silver.drop(*helpers), "silver", source, "run_id", run_id)
+    if source not in CLEANERS:
+        return clean(bronze.drop(*helpers), source)
+    order = [c for c in order_by if c in bronze.columns] or bronze.columns
+    return clean(bronze, source, order).drop(*helpers)
 
 
 def silver_current(lake: Lake, source: str) -> DataFrame | None:

@@ -8,26 +8,33 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from .. import schemas
 from ..functions.text import null_tokens
 from ..operators import clean
 from ..plans.warehouse import load_dimensions, load_facts
-from ..sources.files import POSITION
 from ..sources.lake import Lake
 
 
 def stream_bronze(spark: SparkSession, src: str, lake: Lake, source: str, checkpoint: str,
-                  run_id: str = "stream") -> StreamingQuery:
-    """New CSV files of ``src`` into ``bronze/<source>``, each file once, then stop.
+                  run_id: str = "stream", schema: StructType | None = None,
+                  file_format: str = "csv") -> StreamingQuery:
+    """New files of ``src`` into ``bronze/<source>``, each file once, then stop.
 
-    Every micro-batch has its own partition, so a batch that is retried replaces itself.
+    CSV files of the known feeds are read as text with missing-value tokens turned to NULL;
+    other formats and feeds need their ``schema``. Every micro-batch has its own partition, so
+    a batch that is retried replaces itself.
     """
-    names = schemas.layout(source).names
-    text = ", ".join(f"`{n}` string" for n in names)
-    rows = spark.readStream.schema(text).option("header", True).option("escape", '"').csv(src)
-    rows = rows.select(*[null_tokens(F.col(n)).alias(n) for n in names],
-                       F.col("_metadata.file_path").alias("_file"),
+    reader = spark.readStream.format(file_format)
+    if file_format == "csv":
+        names = (schema or schemas.layout(source)).names
+        rows = reader.schema(", ".join(f"`{n}` string" for n in names)).options(header=True, escape='"').load(src)
+        cells = [null_tokens(F.col(n)).alias(n) for n in names]
+    else:
+        rows = reader.schema(schema or schemas.layout(source)).load(src)
+        cells = ["*"]
+    rows = rows.select(*cells, F.col("_metadata.file_path").alias("_file"),
                        F.col("_metadata.file_block_start").alias("_block"))
 
     def land(batch: DataFrame, batch_id: int) -> None:
@@ -46,14 +53,14 @@ def stream_warehouse(spark: SparkSession, lake: Lake, source: str, checkpoint: s
     Merges find no change and fact loads find no new key when a batch is repeated, so a
     retried batch leaves the warehouse as it is.
     """
-    helpers = "_file string, _block bigint, _pos bigint"
-    text = ", ".join(f"`{n}` string" for n in schemas.layout(source).names)
-    rows = spark.readStream.schema(f"{text}, {helpers}").parquet(lake.path("bronze", source))
+    stored = lake.read("bronze", source)
+    layout = StructType([f for f in stored.schema if f.name != "run_id"])
+    rows = spark.readStream.schema(layout).parquet(lake.path("bronze", source))
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         run = f"{run_id}-{source}-{batch_id:09d}"
-        silver = clean.clean(batch, source, POSITION).drop(*POSITION)
-        lake.replace_partition(silver.drop("run_id"), "silver", source, "run_id", run)
+        silver = clean.clean_delivery(batch.drop("run_id"), source)
+        lake.replace_partition(silver, "silver", source, "run_id", run)
         at = load_ts(batch_id) if callable(load_ts) else load_ts or datetime.now().replace(microsecond=0)
         if source in ("crm_customers", "products"):
             load_dimensions(lake, run, at)
