@@ -7,13 +7,17 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from ..ledger import Ledger
+from ..operators.quality import NotNull, Unique, run_suite
 from ..plans import reports
 from ..plans.medallion import run_medallion
 from ..schemas import layout
 from ..session import shared_dir
-from ..sources.incremental import write_bronze
+from ..sources.files import export_csv, read_source, write_quality_report
+from ..sources.incremental import load_incremental, write_bronze
 from ..sources.lake import Lake
 from ..streaming import stream_bronze, stream_warehouse
+from .quality_checks import nulls, union, unique
 from .registry import query
 
 LOAD_TS = "2001-12-31 00:00:00"
@@ -72,3 +76,47 @@ def fact_stream(feeds):
     facts = lake.facts("fact_sales", layout("fact_sales"))
     product = lake.snapshot("dim_product", layout("dim_product")).select("product_sk", "product_id")
     return facts.join(product, "product_sk").select("transaction_id", "date_id", "store_id", "product_id", "quantity")
+
+
+@query("src01_csv_scan", """
+select transaction_id, store_id, product_id, quantity, timestamp, cast(sale_amount as double) as sale_amount from pos""")
+def csv_scan(feeds):
+    """The sales feed exported as CSV and read back with the types of its layout."""
+    path = _new_lake(feeds).path("export", "pos_transactions")
+    export_csv(feeds.view("pos"), path)
+    return read_source(feeds.spark, path, layout("pos_transactions"), typed=True).drop("_corrupt_record")
+
+
+@query("src04_bronze_runs", """
+select case when timestamp>TS('1998-06-30 00:00:00') then 'run-2' else 'run-1' end as run_id, count(*) as rows,
+       max(timestamp) as newest from pos group by 1""")
+def bronze_runs(feeds):
+    """Two incremental runs over the sales feed; the second starts at the mark of the first."""
+    lake, pos = _new_lake(feeds), feeds.view("pos")
+    first, mark = load_incremental(pos.filter("timestamp <= timestamp_ntz'1998-06-30'"), "timestamp")
+    _, newest = write_bronze(first, lake, "pos_transactions", "run-1", "timestamp")
+    write_bronze(load_incremental(pos, "timestamp", newest)[0], lake, "pos_transactions", "run-2", "timestamp")
+    return lake.read("bronze", "pos_transactions").groupBy("run_id").agg(
+        F.count(F.lit(1)).alias("rows"), F.max("timestamp").alias("newest"))
+
+
+@query("src06_silver_layer", "select * from o_inv")
+def silver_layer(feeds):
+    lake = _new_lake(feeds)
+    lake.write(feeds.inventory(), "silver", "inventory")
+    return lake.read("silver", "inventory")
+
+
+@query("src14_quality_report", union(nulls("erp", "erp_raw", "region"), unique("erp", "erp_raw", "order_id", "order_id")))
+def quality_report(feeds):
+    path = _new_lake(feeds).path("reports", "quality")
+    write_quality_report(run_suite(feeds.view("erp_raw"), "erp", [NotNull("region"), Unique(("order_id",))]), path)
+    return feeds.spark.read.json(path).select("dataset", "expectation", "passed", "details")
+
+
+@query("log02_quality_log", union(nulls("erp", "erp_raw", "region"), unique("erp", "erp_raw", "order_id", "order_id")))
+def quality_log(feeds):
+    ledger = Ledger(_new_lake(feeds))
+    ledger.log_quality("run", run_suite(feeds.view("erp_raw"), "erp", [NotNull("region"), Unique(("order_id",))]))
+    return ledger.table("data_quality_results").select(
+        F.col("dataset_name").alias("dataset"), "expectation", "passed", "details")

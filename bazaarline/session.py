@@ -35,7 +35,7 @@ def shared_dir(spark: SparkSession) -> str:
     Only where the cluster names none (local tests) a temporary folder is made and
     remembered in the session, so later calls agree on it.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not named:
         named = spark.conf.get("spark.bazaarline.shared.dir", None)
     if not named:

@@ -17,8 +17,10 @@ HEADLINE = [
     "cln01_keep_first", "cln11_clean_erp_orders", "cln15_clean_inventory", "jn03_point_in_time",
     "jn06_not_loaded_yet", "agg01_customer_metrics", "agg02_sales_metrics", "agg05_inventory_metrics",
     "dq08_medallion_suite", "dq11_scorecard_orders", "onb01_profile", "onb02_classify", "onb03_map_columns",
-    "wh01_scd2_customers", "wh02_scd2_products", "wh06_fact_sales", "wh07_fact_orders", "aud03_overlaps",
-    "aud06_integrity_suite", "rpt01_top_customers", "rpt02_revenue_by_month", "rpt10_inventory_board",
+    "wh01_scd2_customers", "wh02_scd2_products", "wh04_calendar", "wh05_store_upsert", "wh06_fact_sales", "wh07_fact_orders",
+    "wh08_fact_sales_current", "wh08_fact_orders_current", "aud03_overlaps",
+    "aud06_integrity_suite",
+    "rpt01_top_customers", "rpt02_revenue_by_month", "rpt10_inventory_board",
 ]
 
 

@@ -216,3 +216,11 @@ def test_a_failed_snapshot_is_never_read(spark, lake, tmp_path):
     assert rows(lake.snapshot("d", df.schema)) == [(1,)]
     lake.publish(df.unionByName(df), "d")
     assert lake.snapshot("d", df.schema).count() == 2
+
+
+def test_shared_tables_go_where_the_session_says(spark):
+    from bazaarline.session import materialise
+
+    out = materialise(spark.range(3), "probe")
+    named = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    assert out.count() == 3 and out.inputFiles()[0].replace("///", "/").startswith(named.replace("///", "/"))
