@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import shared_dir
-from . import lines, mixing, shards, tokens
+from . import fingerprints, lines, mixing, quality, shards, tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -84,3 +84,13 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     mixed, _ = mixing.mix_sources(docs, min_entropy=0.95)
     return mixed.select("doc_id", "source", "n_tokens", "block", "place", "passes")
+
+
+@query("op3_fingerprints")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.compare_edited(table(spark, sf_dir, "documents"))
+
+
+@query("op4_quality_classifier")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
