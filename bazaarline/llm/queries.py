@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import shared_dir
-from . import fingerprints, lines, mixing, quality, shards, tokens
+from . import fingerprints, jaccard, lines, mixing, quality, shards, tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -94,3 +94,8 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_quality_classifier")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op2_ngram_jaccard")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
