@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import shared_dir
-from . import fingerprints, jaccard, lines, mixing, quality, shards, tokens
+from . import fingerprints, jaccard, lines, mixing, quality, repeats, shards, tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -99,3 +99,8 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_ngram_jaccard")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
+
+
+@query("op5_substring_dedup")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.cut_repeats(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
