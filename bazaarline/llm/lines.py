@@ -20,9 +20,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialise
+
 MIN_CHARS = 10
 BUCKETS = 1 << 16
-HOT_ROWS = 10_000
+HOT_TIMES = 8     # a bucket of hashes is hot beyond so many times the mean, and HOT_ROWS rows more
+HOT_ROWS = 1_000
 _SPACE = " \t\n\x0b\x0c\r"
 
 
@@ -30,9 +33,17 @@ def split_lines(text: Column) -> Column:
     return F.split(F.coalesce(text, F.lit("")), "\n", -1)
 
 
+def n_lines(text: Column) -> Column:
+    body = F.coalesce(text, F.lit(""))
+    return (F.octet_length(body) - F.octet_length(F.replace(body, F.lit("\n"), F.lit(""))) + 1).cast("long")
+
+
 def line_key(line: Column) -> Column:
     """The line without outer ASCII white space, A-Z in lower case."""
-    return F.translate(F.trim(line, F.lit(_SPACE)), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    bare = F.trim(line, F.lit(_SPACE))
+    letters = F.translate(bare, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    # in a line of ASCII only, lower() is the same and takes the bytes as they are
+    return F.when(F.octet_length(line) == F.char_length(line), F.lower(bare)).otherwise(letters)
 
 
 def _lines(docs: DataFrame, doc_id: str, text: str, min_chars: int) -> DataFrame:
@@ -48,11 +59,16 @@ def _lines(docs: DataFrame, doc_id: str, text: str, min_chars: int) -> DataFrame
 def drop_bitmaps(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_chars: int = MIN_CHARS,
                  hot_rows: int = HOT_ROWS) -> DataFrame:
     """Per document with a drop: doc, tie, n_dropped and ``keep``, a map from line number div 64 to
-    a word whose bit ``line % 64`` is 0 for a dropped line. Words without a drop are left out."""
-    lines = _lines(docs, doc_id, text, min_chars).withColumn("bucket", F.pmod("h1", F.lit(BUCKETS)).cast("int"))
-    # a hash with hot_rows rows makes its bucket hot; at most rows / hot_rows buckets, and BUCKETS, are
-    hot = lines.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= hot_rows).select("bucket")
-    hot = [r.bucket for r in hot.collect()]
+    a word whose bit ``line % 64`` is 0 for a dropped line. Words without a drop are left out.
+
+    Texts are read once: the hashes of their lines, some 30 bytes a line, are stored.
+    """
+    lines = materialise(_lines(docs, doc_id, text, min_chars), "line-hashes") \
+        .withColumn("bucket", F.pmod("h1", F.lit(BUCKETS)).cast("int"))
+    # a hash with very many rows makes its bucket hot; fewer than BUCKETS / HOT_TIMES buckets can be
+    sizes = lines.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
+    mean = (sizes.agg(F.sum("n")).first()[0] or 0) / BUCKETS
+    hot = [r.bucket for r in sizes.where(F.col("n") > HOT_TIMES * mean + hot_rows).select("bucket").collect()]
     is_hot = F.col("bucket").isin(hot) if hot else F.lit(False)
 
     running = Window.partitionBy("h1", "h2").orderBy("doc", "tie", "pos").rowsBetween(Window.unboundedPreceding, 0)
@@ -91,6 +107,6 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min
     here = [F.col(doc_id) == F.col("__doc"), F.xxhash64(text) == F.col("__tie")]
     joined = docs.join(maps, here, "left")
     return joined.withColumn("kept_text", kept_lines(F.col(text), F.col("__keep"))) \
-        .withColumn("n_lines", F.size(split_lines(F.col(text))).cast("long")) \
+        .withColumn("n_lines", n_lines(F.col(text))) \
         .withColumn("n_dropped", F.coalesce(F.col("__n"), F.lit(0)).cast("long")) \
         .drop("__doc", "__tie", "__keep", "__n")
