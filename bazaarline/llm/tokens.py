@@ -38,8 +38,8 @@ from .words import buffers, runs, slices, spans
 
 MAGIC = b"BZTOKEN1"
 BLOCK_IDS = 65_536  # a multiple of 8, so that blocks end on whole bytes
-CACHED_SEGMENTS = 2_000_000
-SLICE = 16 << 20
+CACHED_SEGMENTS = 1_500_000
+SLICE = 8 << 20
 
 
 # packing ---------------------------------------------------------------------------------

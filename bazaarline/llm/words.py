@@ -14,6 +14,7 @@ import pyarrow as pa
 
 # Work is done on slices of about this many bytes, so memory follows one slice, not the task.
 SLICE_BYTES = 4 << 20
+_STRETCH = 1 << 20
 
 _U = np.uint64
 _SPACE = np.zeros(256, bool)
@@ -81,13 +82,23 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int =
 
 
 def byte_hashes(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each ``raw[start:end]``."""
-    n = len(raw)
-    up, down = _BYTES.upto(n + 1)
-    sums = np.zeros(n + 1, _U)
-    np.cumsum(_BYTE[raw] * up[:n], out=sums[1:])
-    own = (sums[end] - sums[start]) * down[start]
-    return mix(own + (end - start).astype(_U) * _POINT)
+    """A 64-bit hash of each ``raw[start:end]``; pieces ascend and don't overlap.
+
+    Worked off a stretch of bytes at a time, since sums take 8 bytes for each byte.
+    """
+    out = np.empty(len(start), _U)
+    i = 0
+    while i < len(start):
+        j = max(i + 1, int(np.searchsorted(end, start[i] + _STRETCH, "right")))
+        low, high = start[i], end[j - 1]
+        n = int(high - low)
+        up, down = _BYTES.upto(n + 1)
+        sums = np.zeros(n + 1, _U)
+        np.cumsum(_BYTE[raw[low:high]] * up[:n], out=sums[1:])
+        a, b = start[i:j] - low, end[i:j] - low
+        out[i:j] = (sums[b] - sums[a]) * down[a] + (b - a).astype(_U) * _POINT
+        i = j
+    return mix(out)
 
 
 def runs(raw: np.ndarray, cuts: np.ndarray) -> np.ndarray:
