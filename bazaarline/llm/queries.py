@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import shared_dir
-from . import fingerprints, jaccard, lines, mixing, quality, repeats, shards, tokens
+from . import fingerprints, jaccard, leaks, lines, mixing, quality, repeats, shards, tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -104,3 +104,8 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_substring_dedup")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.cut_repeats(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+@query("op7_decontamination")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
