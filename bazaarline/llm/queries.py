@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import shared_dir
-from . import fingerprints, jaccard, leaks, lines, mixing, quality, repeats, shards, tokens
+from . import fingerprints, jaccard, language, leaks, lines, mixing, quality, repeats, shards, tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -109,3 +109,14 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_decontamination")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op10_language_id")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page and every document; a page has no doc_id, a document no page_id."""
+    docs = table(spark, sf_dir, "documents")
+    pages = language.page_evidence(table(spark, sf_dir, "pages")).withColumn("kind", F.lit("page"))
+    plain = language.plain_evidence(docs).withColumn("kind", F.lit("document"))
+    return language.identify(docs, pages.unionByName(plain)).select(
+        F.when(F.col("kind") == "document", F.col("id")).alias("doc_id"),
+        F.when(F.col("kind") == "page", F.col("id")).alias("page_id"), "host", "declared", "lang", "probability", "text_lang")
