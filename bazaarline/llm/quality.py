@@ -198,3 +198,22 @@ def score_documents(docs: DataFrame, labels: DataFrame, label: str = "quality",
     return score_rows(stats, model).select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
         (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+def accepted(docs: DataFrame, labels: DataFrame, label: str = "quality", threshold: float = THRESHOLD,
+             doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs`` with a score of ``threshold`` or more, with all their columns.
+
+    Fitted like ``score_documents`` on the labelled rows of ``docs``. Rows are scored where they are
+    read, so no text is shuffled; texts are read a second time for it.
+    """
+    stats = with_statistics(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")))
+    named = labels.select("doc_id", F.col(label).alias("label")).where(F.col("label").isNotNull() & ~held_out(F.col("doc_id")))
+    model = fit(stats.join(named, "doc_id").select("stats", "label"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, text):
+            keep = pa.array(model.score(statistics(part.column(text))) >= threshold)
+            yield pa.RecordBatch.from_arrays([c.filter(keep) for c in part.columns], schema=part.schema)
+
+    return docs.mapInArrow(run, docs.schema)
