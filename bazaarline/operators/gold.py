@@ -77,13 +77,13 @@ def kpi_sales(sales: DataFrame, days: int = 30) -> DataFrame:
         (F.sum("daily_revenue").cast("double") / F.lit(float(days))).alias("avg_daily_revenue"))
 
 
-def first_customers(customers: DataFrame, rows: int | None = 1000) -> DataFrame:
-    """The dashboard's customer page: the first ``rows`` by id, or all with None."""
+def first_customers(customers: DataFrame, rows: int | None = None) -> DataFrame:
+    """All customers, or a page of the first ``rows`` by id."""
     return customers if rows is None else customers.orderBy("customer_id").limit(rows)
 
 
-def kpi_customers(customers: DataFrame, rows: int | None = 1000) -> DataFrame:
-    """Mean revenue, mean order value and number of customers on the customer page."""
+def kpi_customers(customers: DataFrame, rows: int | None = None) -> DataFrame:
+    """Mean revenue, mean order value and number of customers: of all, or of a page."""
     return first_customers(customers, rows).agg(
         F.avg(F.col("total_revenue").cast("double")).alias("avg_ltv"),
         F.avg("average_order_value").alias("avg_aov"), F.count(F.lit(1)).alias("total_customers"))

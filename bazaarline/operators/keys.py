@@ -7,18 +7,23 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKETS = 256
+from .skew import stored
+
+BUCKET_ROWS = 100_000   # rows that one task numbers
 
 
 def assign_sk(df: DataFrame, sk: str, key: Sequence[str], start: Column | int = 0,
-              buckets: int = BUCKETS) -> DataFrame:
+              buckets: int | None = None) -> DataFrame:
     """Gap-free surrogate keys ``start+1 ..`` for rows with a unique ``key``.
 
     Rows are numbered inside hash buckets and shifted by the sizes of the buckets before, so
-    the work spreads over ``buckets`` tasks and a retried task gives the same keys again.
-    The offsets come from one row per bucket.
+    the work spreads over as many tasks as there are buckets, one for each ``BUCKET_ROWS`` rows,
+    and a retried task gives the same keys again. The offsets come from one row per bucket.
+    ``df`` is stored first where it is more than a stored table, since it is read three times.
     """
     start = F.lit(start) if isinstance(start, int) else start
+    df = stored(df, "unnumbered")
+    buckets = buckets or max(1, -(-df.count() // BUCKET_ROWS))
     bucketed = df.withColumn("__b", F.pmod(F.xxhash64(*key), F.lit(buckets)).cast("int"))
     before = Window.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = bucketed.groupBy("__b").agg(F.count(F.lit(1)).alias("__n")).select(

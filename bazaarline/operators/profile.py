@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, NumericType
 
@@ -15,8 +14,6 @@ from ..session import materialise
 from .quality import _missing
 from .skew import fits_broadcast
 
-SAMPLE = 5
-
 
 def duplicate_row_count(df: DataFrame) -> DataFrame:
     """Whole-row duplicates (rows beyond the first of their kind) as one row.
@@ -36,46 +33,33 @@ def duplicate_row_count(df: DataFrame) -> DataFrame:
         F.coalesce(F.sum(F.col("__n") - 1), F.lit(0)).cast("bigint").alias("duplicates"))
 
 
-def date_like(df: DataFrame, columns: Sequence[str], order_by: Sequence[str] = ()) -> DataFrame:
-    """Per column, whether its first five present values (in ``order_by``) all read as dates.
-
-    One row ``(column, is_date)`` per column that has a value at all.
-    """
-    parts = []
+def dates_among(df: DataFrame, columns: Sequence[str]) -> Column:
+    """Aggregate: those of the columns that have values, all of which read as dates."""
+    kinds = []
     for name in columns:
-        value = F.col(f"`{name}`")
-        present = df.filter(value.isNotNull())
-        if order_by:
-            present = present.orderBy(*order_by)
-        head = present.select(value.cast("string").alias("v")).limit(SAMPLE)
-        parts.append(head.agg(F.count(F.lit(1)).alias("n"),
-                              F.count_if(parse_ts(F.col("v")).isNotNull()).alias("ok")).select(
-            F.lit(name).alias("column"), ((F.col("n") > 0) & (F.col("n") == F.col("ok"))).alias("is_date")))
-    return reduce(lambda a, b: a.unionByName(b), parts)
-
-
-def profile(df: DataFrame, order_by: Sequence[str] = ()) -> DataFrame:
+        value = F.col(f"`{name}`").cast("string")
+        all_dates = (F.count(value) > 0) & (F.count(value) == F.count(parse_ts(value)))
+        kinds.append(F.when(all_dates, F.lit(name)))
+    return F.array_compact(F.array(*kinds)) if kinds else F.array().cast("array<string>")
+
+
+def profile(df: DataFrame) -> DataFrame:
     """One row: rows, columns, null and duplicate rate in percent, fields by kind, schema as JSON.
 
-    Flags count as numeric. Rates are rounded half-even to two places.
+    Flags count as numeric; a column is a date field if all its values read as dates. One
+    aggregation gives everything but the duplicates. Rates are rounded half-even to two places.
     """
     data = [f for f in df.schema if not f.name.startswith("_")]
     body = df.select(*[F.col(f"`{f.name}`") for f in data])
     numeric = [f.name for f in data if isinstance(f.dataType, (NumericType, BooleanType))]
     other = [f.name for f in data if f.name not in numeric]
     nulls = sum((F.count_if(_missing(df, f.name)) for f in data), F.lit(0).cast("bigint"))
-    stats = body.agg(F.count(F.lit(1)).alias("rows"), nulls.alias("nulls"))
+    stats = body.agg(F.count(F.lit(1)).alias("rows"), nulls.alias("nulls"), dates_among(body, other).alias("__dates"))
     dups = duplicate_row_count(body).scalar()
-    if other:
-        kinds = date_like(df, other, order_by).agg(F.collect_set(F.when(F.col("is_date"), F.col("column")))
-                                                   .alias("dates"))
-        dates = kinds.scalar()
-    else:
-        dates = F.array().cast("array<string>")
     names = F.array(*[F.lit(c) for c in other]).cast("array<string>")
     cells = F.col("rows") * len(data)
     schema_map = F.create_map(*[x for f in data for x in (F.lit(f.name), F.lit(f.dataType.simpleString()))])
-    return stats.withColumns({"__dups": dups, "__dates": dates}).select(
+    return stats.withColumn("__dups", dups).select(
         F.col("rows"), F.lit(len(data)).alias("columns"),
         F.when(cells > 0, F.bround(F.col("nulls") / cells * 100, 2)).otherwise(F.lit(0.0)).alias("null_rate"),
         F.when(F.col("rows") > 0, F.bround(F.col("__dups") / F.col("rows") * 100, 2)).otherwise(F.lit(0.0))
@@ -86,9 +70,9 @@ def profile(df: DataFrame, order_by: Sequence[str] = ()) -> DataFrame:
         F.to_json(schema_map).alias("schema_definition"))
 
 
-def profile_counts(df: DataFrame, order_by: Sequence[str] = ()) -> DataFrame:
+def profile_counts(df: DataFrame) -> DataFrame:
     """The profile with the number of fields per kind instead of their names."""
-    return profile(df, order_by).select(
+    return profile(df).select(
         "rows", "columns", "null_rate", "dup_rate", F.size("numeric_fields").alias("numeric_count"),
         F.size("date_fields").alias("date_count"), F.size("categorical_fields").alias("categorical_count"),
         "schema_definition")

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .skew import fits_broadcast, spread_join
+from .skew import Lookup, fits_broadcast, spread_joins, stored
 
 
 def dedup(df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Column], keep: str = "first") -> DataFrame:
@@ -37,6 +37,7 @@ def unseen(df: DataFrame, existing: DataFrame, keys: Sequence[str]) -> DataFrame
     """
     keys = list(keys)
     have = existing.select(*keys)
+    df = stored(df, "batch")
     batch_keys = df.select(*keys)
     if fits_broadcast(batch_keys):
         have = have.join(F.broadcast(batch_keys), keys, "left_semi")
@@ -79,8 +80,12 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 def with_current(df: DataFrame, dim: DataFrame, keys: Sequence[str], columns: Sequence[str],
                  how: str = "inner") -> DataFrame:
     """Join to the current version of a versioned dimension."""
-    current = dim.filter("is_current").select(*keys, *columns)
-    return spread_join(df, current, keys, how)
+    return spread_joins(df, [current_lookup(dim, keys, columns, how)])
+
+
+def current_lookup(dim: DataFrame, keys: Sequence[str], columns: Sequence[str], how: str = "inner") -> Lookup:
+    """The current version of a versioned dimension as a lookup."""
+    return Lookup(dim.filter("is_current").select(*keys, *columns), keys, how)
 
 
 def tagged_union(parts: dict[str, DataFrame], tag: str = "table_name") -> DataFrame:

@@ -13,7 +13,7 @@ from .. import schemas
 from ..functions.numbers import differs
 from .keys import assign_sk
 from .rows import dedup
-from .skew import running_by_instant, spread_join
+from .skew import Lookup, running_by_instant, spread_joins
 
 EFFECTIVE, END, CURRENT = "effective_date", "end_date", "is_current"
 
@@ -90,19 +90,25 @@ def scd2_merge(dim: DataFrame, stg: DataFrame, key: str, compare: Sequence[str],
     return kept.unionByName(aligned)
 
 
-def asof_join(fact: DataFrame, dim: DataFrame, key: str, ts: str, columns: Sequence[str],
-              how: str = "inner", as_of: bool = True, **spread) -> DataFrame:
-    """Fact rows with the dimension version valid at ``ts`` (start included, end excluded).
+def asof_lookup(dim: DataFrame, key: str, ts: str, columns: Sequence[str], how: str = "inner",
+                as_of: bool = True) -> Lookup:
+    """The dimension version valid at ``ts`` (start included, end excluded), as a lookup.
 
     The business key stays an equality of the join, the interval is a residual test on it.
     ``as_of=False`` takes the current version whatever the date.
     """
     if not as_of:
-        return spread_join(fact, dim.filter(CURRENT).select(key, *columns), [key], how, **spread)
+        return Lookup(dim.filter(CURRENT).select(key, *columns), [key], how)
     versions = dim.select(key, *columns, F.col(EFFECTIVE).alias("__from"), F.col(END).alias("__to"))
     valid = (F.col(f"l.`{ts}`") >= F.col("r.__from")) & (
         F.col("r.__to").isNull() | (F.col(f"l.`{ts}`") < F.col("r.__to")))
-    return spread_join(fact, versions, [key], how, valid, **spread).drop("__from", "__to")
+    return Lookup(versions, [key], how, valid, ("__from", "__to"))
+
+
+def asof_join(fact: DataFrame, dim: DataFrame, key: str, ts: str, columns: Sequence[str],
+              how: str = "inner", as_of: bool = True, **spread) -> DataFrame:
+    """Fact rows with the dimension version of their time (see ``asof_lookup``)."""
+    return spread_joins(fact, [asof_lookup(dim, key, ts, columns, how, as_of)], **spread)
 
 
 def overlap_pairs(dim: DataFrame, key: str) -> DataFrame:
@@ -110,9 +116,9 @@ def overlap_pairs(dim: DataFrame, key: str) -> DataFrame:
 
     The pairs are counted, not built. With starts and ends summed per instant, an interval
     meets every version that starts before its end, less those that ended by its start; zero
-    length versions at one instant and versions that end before they start are put right by
-    two corrections. Every step groups by key and instant, so a key with very many versions
-    is spread as well.
+    length versions at one instant are put right by a correction. Every step groups by key and
+    instant, so a key with very many versions is spread as well. Only versions that end before
+    they start are compared with the versions of their key, dealt over tasks for a large key.
     """
     iv = dim.filter(F.col(key).isNotNull() & F.col(EFFECTIVE).isNotNull()).select(
         F.col(key).alias("k"), F.col(EFFECTIVE).alias("s"),
@@ -129,10 +135,10 @@ def overlap_pairs(dim: DataFrame, key: str) -> DataFrame:
     # each proper interval meets itself; zero-length ones at one instant were taken off n*n too often
     selves = proper.select("k", F.when(F.col("s") < F.col("e"), -F.col("n"))
                            .otherwise(F.col("n") * F.col("n")).alias("twice"))
-    inverted = shapes.filter("s > e").select("k", F.col("s").alias("s1"), F.col("e").alias("e1"),
-                                             F.col("n").alias("n1"))
     # overlap of an inverted version with any other shape; inverted/inverted is seen from both sides
-    crossed = inverted.join(shapes, "k").filter((F.col("s1") < F.col("e")) & (F.col("e1") > F.col("s"))).select(
+    inverted = shapes.filter("s > e").select("k", F.col("s").alias("s1"), F.col("e").alias("e1"), F.col("n").alias("n1"))
+    meets = (F.col("r.s1") < F.col("l.e")) & (F.col("r.e1") > F.col("l.s"))
+    crossed = spread_joins(shapes, [Lookup(inverted, ["k"], "inner", meets)]).select(
         "k", (F.when(F.col("s") > F.col("e"), F.col("n1") * F.col("n"))
               .otherwise(2 * F.col("n1") * F.col("n"))).alias("twice"))
     total = met.unionByName(selves).unionByName(crossed).groupBy("k").agg(F.sum("twice").alias("twice"))

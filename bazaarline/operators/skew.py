@@ -3,15 +3,37 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialise
+
 # A key below this many rows is small for one task. At most rows/HOT_ROWS keys can reach it,
-# which bounds the hot-key list that is broadcast.
+# which bounds the hot-key list that is broadcast. A hot key is dealt over rows/HOT_ROWS parts.
 HOT_ROWS = 1_000_000
-SALTS = 64
+
+# What reads stored data row by row; anything else makes the size of a plan a guess.
+_PLAIN = {"Project", "Filter", "Relation", "SubqueryAlias", "View", "LocalRelation", "Range", "LogicalRelation", "ResolvedHint"}
+
+
+def _plain(df: DataFrame) -> bool:
+    """Whether ``df`` is a stored table, at most filtered and projected."""
+    todo = [df._jdf.queryExecution().optimizedPlan()]
+    while todo:
+        node = todo.pop()
+        if node.nodeName().split(" ")[0] not in _PLAIN:
+            return False
+        kids = node.children()
+        todo += [kids.apply(i) for i in range(kids.size())]
+    return True
+
+
+def stored(df: DataFrame, label: str = "lookup") -> DataFrame:
+    """``df`` with a size that can be trusted: what is more than a stored table is written once."""
+    return df if _plain(df) else materialise(df, label)
 
 
 def size_bytes(df: DataFrame) -> int:
@@ -21,44 +43,70 @@ def size_bytes(df: DataFrame) -> int:
 
 
 def fits_broadcast(df: DataFrame) -> bool:
-    """Whether the known size is within the session's own broadcast limit."""
+    """Whether the size is within the session's own broadcast limit. ``df`` must be ``stored``:
+    the optimiser multiplies the sizes of joined tables."""
     limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
     return 0 <= size_bytes(df) <= limit
 
 
-def spread_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner",
-                condition: Column | None = None, hot_rows: int | None = None, salts: int = SALTS) -> DataFrame:
-    """Equi join of a large ``left`` with a lookup ``right`` (inner or left).
-
-    ``condition`` may use ``l.<col>`` and ``r.<col>``. Right key columns are dropped.
-    A right side within the broadcast limit is joined in place: nothing is shuffled, so no key
-    can be hot. Otherwise rows of hot left keys, and rows without a key, are dealt over
-    ``salts`` by a hash of the row (the same on every retry), and the right rows of exactly the
-    hot keys are copied once per salt.
+@dataclass
+class Lookup:
+    """One step of ``spread_joins``: a table joined by equal keys. ``condition`` may use
+    ``l.<col>`` and ``r.<col>``; ``drop`` names right columns that only the condition needs."""
+
+    right: DataFrame
+    keys: Sequence[str]
+    how: str = "inner"
+    condition: Column | None = None
+    drop: Sequence[str] = ()
+
+
+def spread_joins(left: DataFrame, lookups: Sequence[Lookup], hot_rows: int | None = None) -> DataFrame:
+    """Equi joins of a large ``left`` with several lookups, one after the other (inner or left).
+
+    Right key columns are dropped. A lookup within the broadcast limit is joined in place: nothing
+    is shuffled, so no key can be hot. Where one is larger, ``left`` is cut once before the chain,
+    and its keys are counted on the stored copy: rows of a hot key are dealt over parts by a hash
+    of the row (the same on every retry), as many as the key has ``hot_rows``, and the lookup rows
+    of exactly the hot keys are copied once per part. Rows without a key match nothing; they are
+    dealt over all tasks.
     """
-    keys = list(keys)
-    r_names = {k: f"__r_{k}" for k in keys}
-    lookup = right.withColumnsRenamed(r_names)
-    on = [F.col(f"l.`{k}`") == F.col(f"r.`{r_names[k]}`") for k in keys]
-    extra = [] if condition is None else [condition]
-
-    if fits_broadcast(right):
-        joined = left.alias("l").join(lookup.alias("r"), reduce(lambda a, b: a & b, on + extra), how)
-        return joined.drop(*r_names.values())
-
-    hot = left.dropna(subset=keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")) \
-        .filter(F.col("__n") >= (hot_rows or HOT_ROWS)).select(*keys, F.lit(True).alias("__hot"))
-    no_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-    dealt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in left.columns]), F.lit(salts)).cast("int")
-    salted = left.join(F.broadcast(hot), keys, "left").withColumn(
-        "__salt", F.when(F.col("__hot") | no_key, dealt).otherwise(F.lit(0))).drop("__hot")
-    copies = F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    copied = lookup.join(F.broadcast(hot.withColumnsRenamed(r_names)), list(r_names.values()), "left") \
-        .withColumn("__rsalt", F.explode(copies)).drop("__hot")
-    on = on + [F.col("l.__salt") == F.col("r.__rsalt")]
-    joined = salted.alias("l").join(copied.alias("r"), reduce(lambda a, b: a & b, on + extra), how)
-    return joined.drop(*r_names.values(), "__salt", "__rsalt").select(
-        *left.columns, *[c for c in right.columns if c not in keys])
+    limit = hot_rows or HOT_ROWS
+    lookups = [replace(x, right=stored(x.right)) for x in lookups]
+    large = [not fits_broadcast(x.right) for x in lookups]
+    if any(large):
+        left = stored(left, "facts")
+    lanes = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    base, out = left, left
+    dealt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in left.columns]), F.lit(2**31 - 1))
+    for lookup, is_large in zip(lookups, large):
+        keys = list(lookup.keys)
+        names = {k: f"__r_{k}" for k in keys}
+        right = lookup.right.withColumnsRenamed(names)
+        on = [F.col(f"l.`{k}`") == F.col(f"r.`{n}`") for k, n in names.items()]
+        if lookup.condition is not None:
+            on.append(lookup.condition)
+        if is_large:
+            hot = base.dropna(subset=keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")) \
+                .filter(F.col("__n") >= limit) \
+                .select(*keys, F.ceil(F.col("__n") / F.lit(float(limit))).cast("int").alias("__parts"))
+            no_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+            parts = F.when(no_key, F.lit(lanes)).otherwise(F.coalesce("__parts", F.lit(1)))
+            out = out.join(F.broadcast(hot), keys, "left") \
+                .withColumn("__salt", F.pmod(dealt, parts).cast("int")).drop("__parts")
+            copies = F.sequence(F.lit(0), F.coalesce("__parts", F.lit(1)) - 1)
+            right = right.join(F.broadcast(hot.withColumnsRenamed(names)), list(names.values()), "left") \
+                .withColumn("__rsalt", F.explode(copies)).drop("__parts")
+            on.append(F.col("l.__salt") == F.col("r.__rsalt"))
+        out = out.alias("l").join(right.alias("r"), reduce(lambda a, b: a & b, on), lookup.how) \
+            .drop(*names.values(), "__salt", "__rsalt", *lookup.drop)
+    return out.select(*left.columns, *[c for x in lookups for c in x.right.columns if c not in {*x.keys, *x.drop}])
+
+
+def spread_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner",
+                condition: Column | None = None, hot_rows: int | None = None) -> DataFrame:
+    """``spread_joins`` with one lookup."""
+    return spread_joins(left, [Lookup(right, keys, how, condition)], hot_rows)
 
 
 def running_by_instant(df: DataFrame, keys: Sequence[str], instant: str, sums: Sequence[str]) -> DataFrame:

@@ -68,7 +68,7 @@ def onboard(spark: SparkSession, lake: Lake, upload_dir: str, run_id: str, load_
         kind = types[name]
         data = df.drop(*POSITION)
         lake.write(data, "bronze", f"uploads/{os.path.splitext(name)[0]}")
-        facts = profile(df, POSITION).drop("numeric_fields", "date_fields", "categorical_fields").first()
+        facts = profile(df).drop("numeric_fields", "date_fields", "categorical_fields").first()
         common = dict(dataset_name=name, original_filename=name, source_file_name=name, source_dataset_type=kind,
                       detected_type=kind, rows_count=facts["rows"], columns_count=facts["columns"],
                       schema_definition=facts["schema_definition"])

@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..ledger import Ledger
 from ..operators.audit import duplicate_facts
-from ..operators.rows import orphan_count, with_current
-from ..operators.skew import spread_join
+from ..operators.rows import current_lookup, orphan_count, with_current
+from ..operators.skew import Lookup, spread_joins
 from ..sources.lake import Lake
 
 
@@ -73,8 +73,8 @@ def orphan_report(fact_sales: DataFrame, fact_orders: DataFrame, dim_product: Da
 def inventory_board(inventory: DataFrame, dim_store: DataFrame, dim_product: DataFrame) -> DataFrame:
     """Inventory metrics with the names of store and current product."""
     stores = dim_store.select("store_id", "store_name", "region")
-    wide = spread_join(inventory, stores, ["store_id"])
-    wide = with_current(wide, dim_product, ["product_id"], ["product_name", "category"])
+    wide = spread_joins(inventory, [Lookup(stores, ["store_id"]),
+                                    current_lookup(dim_product, ["product_id"], ["product_name", "category"])])
     return wide.select("store_id", "store_name", "region", "product_id", "product_name", "category", "stock_level",
                        "reorder_point", "stock_turnover", "inventory_velocity", "days_inventory_outstanding",
                        "low_stock_alert")
@@ -88,16 +88,16 @@ def low_stock(board: DataFrame) -> DataFrame:
 def point_in_time(fact_orders: DataFrame, dim_customer: DataFrame, dim_product: DataFrame,
                   dim_date: DataFrame) -> DataFrame:
     """Every order with the customer segment and product of its time."""
-    out = spread_join(fact_orders, dim_customer.select("customer_sk", "customer_id", "segment", "effective_date",
-                                                       "end_date"), ["customer_sk"])
-    out = spread_join(out, dim_product.select("product_sk", "product_name"), ["product_sk"])
+    out = spread_joins(fact_orders, [
+        Lookup(dim_customer.select("customer_sk", "customer_id", "segment", "effective_date", "end_date"), ["customer_sk"]),
+        Lookup(dim_product.select("product_sk", "product_name"), ["product_sk"])])
     out = out.join(F.broadcast(dim_date.select("date_id", "full_date")), "date_id")  # one row per day
     return out.select("order_id", F.col("full_date").alias("order_date"), "customer_id", "segment", "effective_date",
                       "end_date", "product_name")
 
 
-def report(lake: Lake, name: str) -> DataFrame:
-    """A named report over the stored tables of a lake."""
+def report(lake: Lake, name: str, customer_ids: Sequence[int] = (10001, 10002, 10003)) -> DataFrame:
+    """A named report over the stored tables of a lake; ``customer_ids`` are for the version history."""
     def snap(table: str) -> DataFrame:
         return lake.snapshot(table, schemas.layout(table))
 
@@ -113,7 +113,7 @@ def report(lake: Lake, name: str) -> DataFrame:
         "revenue_by_region": lambda: revenue_by_region(fact("fact_orders")),
         "turnover_by_category": lambda: turnover_by_category(metrics("inventory_metrics"), snap("dim_product")),
         "segment_analytics": lambda: segment_analytics(metrics("customer_metrics")),
-        "version_history": lambda: version_history(snap("dim_customer"), [10001, 10002, 10003]),
+        "version_history": lambda: version_history(snap("dim_customer"), customer_ids),
         "recent_lineage": lambda: Ledger(lake).lineage_recent(10),
         "orphans": lambda: orphan_report(fact("fact_sales"), fact("fact_orders"), snap("dim_product"),
                                          snap("dim_store"), snap("dim_customer")),

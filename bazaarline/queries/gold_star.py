@@ -90,7 +90,7 @@ def kpi_sales(feeds):
 
 @query("agg12_kpi_customers", """
 select round(avg(cast(total_revenue as double)), 6) as avg_ltv, round(avg(average_order_value), 6) as avg_aov,
-       count(*) as total_customers from (select * from o_customer_metrics order by customer_id limit 1000)""")
+       count(*) as total_customers from o_customer_metrics""")
 def kpi_customers(feeds):
     return _rounded(gold.kpi_customers(feeds.customer_metrics()), "avg_ltv", "avg_aov")
 
@@ -236,7 +236,7 @@ def sales_board(feeds):
 
 @query("rpt12_customer_scatter", """
 select total_orders, cast(total_revenue as double) as total_revenue, segment
-from (select * from o_customer_metrics order by customer_id limit 1000)""")
+from o_customer_metrics""")
 def customer_scatter(feeds):
     return gold.first_customers(feeds.customer_metrics()).select(
         "total_orders", F.col("total_revenue").cast("double").alias("total_revenue"), "segment")

@@ -207,7 +207,7 @@ select n as rows, 10 as columns, round_even(nulls::double/(n*10)*100, 2) as null
   round_even(dup::double/n*100, 2) as dup_rate, 'order_id,customer_id,product_id,ord2,ord3' as numeric_fields,
   'order_date,ord1' as date_fields, 'quantity,region,unit_price' as categorical_fields from c, d""")
 def onb01(feeds):
-    out = profile(feeds.view("erp_raw"), ["order_id", "ord1", "ord2", "ord3"])
+    out = profile(feeds.view("erp_raw"))
     return out.drop("schema_definition").withColumns(
         {c: F.array_join(c, ",") for c in ("numeric_fields", "date_fields", "categorical_fields")})
 
@@ -218,4 +218,4 @@ d as (select cast(sum(k-1) as bigint) as dup from (select *, count(*) as k from
 select n as rows, 3 as columns, 0.0::double as null_rate, round_even(dup::double/n*100, 2) as dup_rate,
   2 as numeric_count, 1 as date_count, 0 as categorical_count from c, d""")
 def onb01_counts(feeds):
-    return profile_counts(feeds.view("narrow_sales"), ["day", "store_id", "quantity"]).drop("schema_definition")
+    return profile_counts(feeds.view("narrow_sales")).drop("schema_definition")

@@ -32,13 +32,17 @@ def get_session(app: str = "bazaarline", master: str | None = None, **conf: str)
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach: ``spark.checkpoint.dir`` of the session.
 
-    Only where the cluster names none (local tests) a temporary folder is made and
-    remembered in the session, so later calls agree on it.
+    Only in local mode, where all tasks share one disk, a temporary folder is made if none is
+    named, and remembered in the session, so later calls agree on it. A cluster must name one:
+    elsewhere every executor would write to its own disk.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not named:
         named = spark.conf.get("spark.bazaarline.shared.dir", None)
     if not named:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError(f"set spark.checkpoint.dir to a folder that all executors of {master} share")
         named = "file:" + tempfile.mkdtemp(prefix="bazaarline-")
         spark.conf.set("spark.bazaarline.shared.dir", named)
     return named

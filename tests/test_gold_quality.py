@@ -101,7 +101,7 @@ def test_profile(spark):
     df = spark.createDataFrame(
         [(0, 1, "2024-01-01", "a", True), (1, 2, "2024-01-02", None, False), (1, 2, "2024-01-02", None, False)],
         "n int, v int, d string, c string, f boolean")
-    r = profile(df, ["n"]).first()
+    r = profile(df).first()
     assert (r.rows, r.columns, r.null_rate, r.dup_rate) == (3, 5, 13.33, 33.33)
     assert (r.numeric_fields, r.date_fields, r.categorical_fields) == (["n", "v", "f"], ["d"], ["c"])
     assert r.schema_definition == '{"n":"int","v":"int","d":"string","c":"string","f":"boolean"}'

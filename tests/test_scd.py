@@ -120,7 +120,7 @@ def test_salted_join_equals_plain_join(spark):
     try:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
         for how in ("inner", "left"):
-            salted = spread_join(left, right, ["k"], how, hot_rows=50, salts=8)
+            salted = spread_join(left, right, ["k"], how, hot_rows=50)
             assert rows(salted, "i", "k", "v") == plain[how]
             assert "__salt" in salted._jdf.queryExecution().optimizedPlan().toString()
     finally:
@@ -163,3 +163,19 @@ def test_growth(spark):
     df = spark.createDataFrame([(1, 0.0), (2, 0.0), (3, 5.0), (4, 10.0), (5, 0.0)], "d int, v double")
     got = [r.g for r in rowops.pct_change(df, "d", "v", "g").orderBy("d").collect()]
     assert got == [0.0, 0.0, float("inf"), 100.0, -100.0]
+
+
+def test_lookups_read_the_facts_few_times(spark, monkeypatch):
+    import re
+
+    import __spark_entry__ as entry
+    from bazaarline.operators import skew
+
+    monkeypatch.setattr(skew, "HOT_ROWS", 200)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for name, most in (("rpt13_point_in_time_proof", 4), ("wh07_fact_orders", 3)):
+            plan = entry.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+            assert len(re.findall(r"l_orderkey#\d+L?[^\n]*\] parquet", plan)) <= most
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
