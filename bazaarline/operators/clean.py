@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,6 +15,7 @@ from ..sources.lake import Lake
 from .rows import dedup
 
 Order = Sequence[str | Column]
+LOADED_AT = "_loaded_at"
 
 
 def _replace(df: DataFrame, **cols: Column) -> DataFrame:
@@ -117,7 +119,13 @@ def to_silver(lake: Lake, source: str, run_id: str, order_by: Order = ("_file",
     bronze = lake.read("bronze", f"{source}/run_id={run_id}")
     if bronze is None:
         return None
-    return lake.replace_partition(clean_delivery(bronze, source, order_by), "silver", source, "run_id", run_id)
+    return write_silver(lake, clean_delivery(bronze, source, order_by), source, run_id)
+
+
+def write_silver(lake: Lake, df: DataFrame, source: str, run_id: str) -> str:
+    """Store one run's silver rows with the time of the load, by which later loads win."""
+    stamped = df.withColumn(LOADED_AT, F.lit(datetime.now()).cast("timestamp_ntz"))
+    return lake.replace_partition(stamped, "silver", source, "run_id", run_id)
 
 
 def clean_delivery(bronze: DataFrame, source: str, order_by: Order = ("_file", "_block", "_pos")) -> DataFrame:
@@ -131,17 +139,17 @@ def clean_delivery(bronze: DataFrame, source: str, order_by: Order = ("_file", "
 
 
 def silver_current(lake: Lake, source: str) -> DataFrame | None:
-    """Silver rows of all runs, the latest run winning per business key.
+    """Silver rows of all runs, the latest load winning per business key.
 
-    Run ids sort by time (they start with a timestamp).
+    Loads are ordered by their stored time, so runs and streams mix whatever their ids are.
     """
     silver = lake.read("silver", source)
     if silver is None:
         return None
     keys = schemas.SOURCE_KEYS.get(source)
     if keys is None:
-        return silver.drop("run_id").distinct()
-    return dedup(silver, keys, ["run_id"], keep="last").drop("run_id")
+        return silver.drop("run_id", LOADED_AT).distinct()
+    return dedup(silver, keys, [LOADED_AT, "run_id"], keep="last").drop("run_id", LOADED_AT)
 
 
 def conform(df: DataFrame, mapping: Mapping[str, str | None], template: StructType | Sequence[str]) -> DataFrame:

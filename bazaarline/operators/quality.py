@@ -209,6 +209,22 @@ def run_suites(frames: dict[str, DataFrame], short: bool = False) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
+def bad_ids(frames: dict[str, DataFrame]) -> DataFrame:
+    """A failed result for every id column of text with values that are no numbers; else no rows."""
+    parts = []
+    for name, df in frames.items():
+        ids = [c for c in df.columns if c in ID_COLUMNS and df.schema[c].dataType.typeName() == "string"]
+        if not ids:
+            continue
+        bad = [F.struct(F.lit(f"{c} is a number").alias("expectation"),
+                        F.count_if(F.col(c).isNotNull() & to_number(F.col(c)).isNull()).alias("found")) for c in ids]
+        parts.append(df.agg(F.array(*bad).alias("r")).select(F.lit(name).alias("dataset"), F.inline("r")).where("found > 0")
+                     .select("dataset", "expectation", F.lit(False).alias("passed"),
+                             F.format_string("Found %d values that are no numbers", "found").alias("details")))
+    schema = "dataset string, expectation string, passed boolean, details string"
+    return reduce(lambda a, b: a.unionByName(b), parts) if parts else next(iter(frames.values())).sparkSession.createDataFrame([], schema)
+
+
 def gate(results: DataFrame) -> None:
     """Stop the run if an expectation failed; call it after the results are logged."""
     failed = results.filter(~F.col("passed")).collect()

@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import os
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 from functools import reduce
 
@@ -24,6 +25,9 @@ from ..sources.tables import load_custom
 from .medallion import run_medallion
 
 
+PARALLEL = 8  # uploads examined at a time
+
+
 def list_uploads(spark: SparkSession, upload_dir: str) -> list[str]:
     """Paths of the CSV files of a folder, by name."""
     base = spark._jvm.org.apache.hadoop.fs.Path(upload_dir)
@@ -44,7 +48,8 @@ def onboard(spark: SparkSession, lake: Lake, upload_dir: str, run_id: str, load_
     """Profile, classify, map, score, conform, load and register every upload of a folder.
 
     Unknown files become ``custom_<name>`` tables. Files of a known type are conformed and run
-    through the medallion job together. ``type_override`` and ``mapping_override`` (by file
+    through the medallion job together, all their rows: uploads may be older than the marks of the
+    regular feeds and do not move them. ``type_override`` and ``mapping_override`` (by file
     name) replace what was detected. Returns the registry entries of this run.
     """
     ledger = Ledger(lake)
@@ -62,13 +67,25 @@ def onboard(spark: SparkSession, lake: Lake, upload_dir: str, run_id: str, load_
             mapping[name][field] = (mapping_override or {}).get(name, {}).get(field, chosen.get((name, field)))
 
     entries: list[DataFrame] = []
-    inputs, files = {}, {}
+    inputs: dict[str, DataFrame] = {}
+    files: dict[str, list[str]] = {}
     layout = schemas.layout("dataset_registry")
-    for name, df in frames.items():
-        kind = types[name]
+
+    def examine(name: str) -> tuple:
+        """Store an upload as it came, profile it and score it; files of one call run side by side."""
+        df, kind = frames[name], types[name]
         data = df.drop(*POSITION)
         lake.write(data, "bronze", f"uploads/{os.path.splitext(name)[0]}")
         facts = profile(df).drop("numeric_fields", "date_fields", "categorical_fields").first()
+        score = None if kind == "Unknown" else \
+            scorecard(data, kind, mapping[name]).withColumn("details", F.to_json("deductions")).first()
+        return name, facts, score
+
+    with ThreadPoolExecutor(PARALLEL) as pool:
+        examined = list(pool.map(examine, frames))
+    for name, facts, score in examined:
+        df, kind = frames[name], types[name]
+        data = df.drop(*POSITION)
         common = dict(dataset_name=name, original_filename=name, source_file_name=name, source_dataset_type=kind,
                       detected_type=kind, rows_count=facts["rows"], columns_count=facts["columns"],
                       schema_definition=facts["schema_definition"])
@@ -82,12 +99,11 @@ def onboard(spark: SparkSession, lake: Lake, upload_dir: str, run_id: str, load_
                 validity_score=100.0, uniqueness_score=100.0, consistency_score=100.0, quality_details="[]",
                 confidence_score=0.0, detection_signals="[]", last_run_id="custom_import"))
             continue
-        score = scorecard(data, kind, mapping[name]).withColumn("details", F.to_json("deductions")).first()
         feed = templates.FEEDS[kind]
         fields = {**mapping[name], **{c: c for c in POSITION}}
         conformed = conform(df, fields, [*templates.TEMPLATES[kind], *POSITION])
         inputs[feed] = inputs[feed].unionByName(conformed) if feed in inputs else conformed
-        files[feed] = name
+        files.setdefault(feed, []).append(name)
         entries.append(ops.registry_row(
             spark, layout, **common, status="Completed", quality_score=float(score["quality_score"]),
             completeness_score=float(score["completeness"]), validity_score=float(score["validity"]),
@@ -95,7 +111,7 @@ def onboard(spark: SparkSession, lake: Lake, upload_dir: str, run_id: str, load_
             quality_details=score["details"], confidence_score=float(detected[name]["confidence_score"]),
             detection_signals=json.dumps(detected[name]["matched_signals"], ensure_ascii=False), last_run_id=run_id))
     if inputs:
-        run_medallion(spark, lake, inputs, run_id, load_ts, stores, files=files)
+        run_medallion(spark, lake, inputs, run_id, load_ts, stores, files=files, everything=True)
     names = [(n, [c for c in df.columns if c not in POSITION]) for n, df in frames.items()]
     ledger.track_schema(spark.createDataFrame(names, "dataset_name string, columns array<string>"))
     if entries:

@@ -59,11 +59,11 @@ def load_facts(lake: Lake, run_id: str) -> dict[str, int]:
     loaded = {}
     if pos is not None:
         existing = lake.facts("fact_sales", schemas.layout("fact_sales"))
-        new = facts.fact_sales(pos, product, dim_date, existing)
+        new = facts.fact_sales(pos, product, dim_date, existing, unique=True)
         loaded["fact_sales"] = _append(lake, new, "fact_sales")
     if erp is not None:
         existing = lake.facts("fact_orders", schemas.layout("fact_orders"))
-        new = facts.fact_orders(erp, product, customer, dim_date, existing)
+        new = facts.fact_orders(erp, product, customer, dim_date, existing, unique=True)
         loaded["fact_orders"] = _append(lake, new, "fact_orders")
     return loaded
 

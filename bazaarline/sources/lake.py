@@ -13,10 +13,13 @@ class Lake:
     """``Lake(spark, root)`` reads and writes ``root/<layer>/<name>``.
 
     ``root`` may be ``file:``, ``hdfs:`` or ``s3a:``. Snapshot tables (dimensions) are kept as
-    ``v=<n>`` folders: a merge writes version n+1 completely and readers take the newest
-    version whose job has committed, so a failed write is never seen.
+    ``v=<n>`` folders: a merge writes version n+1 completely and then an empty ``_PUBLISHED`` file.
+    Readers take the newest version that has one, so a failed write is never seen, whatever
+    committer is in use; no version is ever written into a folder that exists.
     """
 
+    MARKER = "_PUBLISHED"
+
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
@@ -61,30 +64,31 @@ class Lake:
         jvm_path = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         return jvm_path.getFileSystem(self.spark._jsc.hadoopConfiguration()), jvm_path
 
-    def _versions(self, name: str) -> list[int]:
+    def _versions(self, name: str) -> dict[int, bool]:
+        """Versions by number, and whether they are published."""
         fs, base = self._fs(self.path("warehouse", name))
         if not fs.exists(base):
-            return []
-        found = []
+            return {}
+        found = {}
         for status in fs.listStatus(base):
             folder = status.getPath().getName()
-            done = self.spark._jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")
-            if folder.startswith("v=") and fs.exists(done):
-                found.append(int(folder[2:]))
-        return sorted(found)
+            if folder.startswith("v="):
+                found[int(folder[2:])] = fs.exists(self.spark._jvm.org.apache.hadoop.fs.Path(status.getPath(), self.MARKER))
+        return found
 
     def snapshot(self, name: str, schema) -> DataFrame:
         """Newest committed version of a snapshot table, or an empty table."""
-        versions = self._versions(name)
+        versions = [v for v, published in self._versions(name).items() if published]
         if not versions:
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(f"{self.path('warehouse', name)}/v={versions[-1]}")
+        return self.spark.read.schema(schema).parquet(f"{self.path('warehouse', name)}/v={max(versions)}")
 
     def publish(self, df: DataFrame, name: str) -> DataFrame:
         """Write ``df`` as the next version and return it read back from there."""
-        versions = self._versions(name)
-        path = f"{self.path('warehouse', name)}/v={versions[-1] + 1 if versions else 1}"
-        df.write.mode("overwrite").parquet(path)
+        path = f"{self.path('warehouse', name)}/v={max(self._versions(name), default=0) + 1}"
+        df.write.mode("errorifexists").parquet(path)
+        fs, marker = self._fs(f"{path}/{self.MARKER}")
+        fs.create(marker, False).close()
         return self.spark.read.schema(df.schema).parquet(path)
 
     # -- fact tables -------------------------------------------------------------------
