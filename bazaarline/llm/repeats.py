@@ -129,24 +129,43 @@ def _unpacked(batches: Iterator[pa.RecordBatch], kind) -> Iterator[tuple[int, np
         yield (bucket, *(np.concatenate([np.frombuffer(r[i], k) for r in rows]) for i, k in enumerate((kind, np.int64, np.bool_))))
 
 
-def _by_document(doc: np.ndarray, keys: np.ndarray, bucket: int) -> pa.RecordBatch:
-    order = np.argsort(doc, kind="stable")
-    doc, keys = doc[order], keys[order]
-    _, first = _groups(doc)
-    return pa.RecordBatch.from_arrays(
-        [pa.array(doc[first]), pa.array(np.full(len(first), bucket, np.int32)), packed(keys, np.r_[first, len(doc)])],
-        names=["doc_id", "bucket", "keys"])
+def _addressed(doc: np.ndarray, keys: np.ndarray, lanes: int) -> pa.RecordBatch:
+    """What is found for documents, packed by the lane that gathers each document."""
+    lane = (mix(doc.view(_U)) % _U(lanes)).astype(np.int64)
+    by = np.argsort(doc, kind="stable")
+    used, (k, o) = _dealt(lane[by], keys[by].astype(_U), doc[by])
+    return pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), k, o], names=["lane", "keys", "docs"])
 
 
-_HITS = "doc_id long, bucket int, keys binary"
+_HITS = "lane int, keys binary, docs binary"
+
+
+def gathered(hits: DataFrame, lanes: int, name: str) -> DataFrame:
+    """One row (doc_id, ``name``: keys) per document that has any."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [(k, o) for batch in batches for k, o in
+                zip(batch.column("keys").to_pylist(), batch.column("docs").to_pylist(), strict=True)]
+        if held:
+            keys, doc = (np.concatenate([np.frombuffer(r[i], kind) for r in held]) for i, kind in enumerate((_U, np.int64)))
+            order = np.argsort(doc, kind="stable")
+            keys, doc = keys[order], doc[order]
+            _, first = _groups(doc)
+            bounds = np.r_[first, len(doc)]
+            for at in range(0, len(first), 2_000):
+                upto = min(at + 2_000, len(first))
+                part = bounds[at:upto + 1]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(doc[first[at:upto]]), packed(keys[part[0]:part[-1]], part - part[0])], names=["doc_id", name])
+
+    return hits.repartitionById(lanes, F.col("lane")).mapInArrow(run, f"doc_id long, {name} binary")
 
 
 def anchor_hits(entries: DataFrame, buckets: int) -> DataFrame:
-    """(doc_id, bucket, keys): the anchors of each document that a block and a probe of two documents share."""
+    """(doc_id, hits): the anchors of each document that a block and a probe of two documents share."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for bucket, key, doc, flag in _unpacked(batches, np.uint32):
             if bucket < 0:
-                yield _by_document(doc, key, -1 - bucket)
+                yield _addressed(doc, key.astype(_U) | (_U(-1 - bucket) << _U(32)), buckets)
                 continue
             order = np.lexsort((doc, key))
             key, doc, flag = key[order], doc[order], flag[order]
@@ -155,10 +174,10 @@ def anchor_hits(entries: DataFrame, buckets: int) -> DataFrame:
             shared = (doc[first] != doc[last]) & np.logical_or.reduceat(flag, first)
             keep = shared[run_of]
             if keep.any():
-                yield _by_document(doc[keep], key[keep], bucket)
+                yield _addressed(doc[keep], key[keep].astype(_U) | (_U(bucket) << _U(32)), buckets)
 
     to = F.when(F.col("bucket") < 0, -1 - F.col("bucket")).otherwise(F.col("bucket"))
-    return entries.repartitionById(buckets, to).mapInArrow(run, _HITS)
+    return gathered(entries.repartitionById(buckets, to).mapInArrow(run, _HITS), buckets, "hits")
 
 
 def candidates(docs: DataFrame, hits: DataFrame, buckets: int, length: int = LENGTH, block: int = BLOCK) -> DataFrame:
@@ -177,8 +196,7 @@ def candidates(docs: DataFrame, hits: DataFrame, buckets: int, length: int = LEN
                 full = (bucket.astype(_U) << _U(32)) | rest
                 low = np.searchsorted(at, w.of)
                 for d in np.flatnonzero(hit):
-                    keys = np.concatenate([np.frombuffer(m["keys"], np.uint32).astype(_U) | (_U(m["bucket"]) << _U(32))
-                                           for m in marks[d]])
+                    keys = np.frombuffer(marks[d], _U)
                     own = slice(low[d], low[d + 1])
                     where = at[own][np.isin(full[own], keys)] - w.of[d]
                     count = int(w.count[d])
@@ -195,13 +213,12 @@ def candidates(docs: DataFrame, hits: DataFrame, buckets: int, length: int = LEN
                  pa.array([t if s is not None else None for t, s in zip(texts, starts, strict=True)], pa.string()),
                  pa.array(starts, pa.binary())], names=["doc_id", "n_words", "sha256", "text", "starts"])
 
-    gathered = hits.groupBy("doc_id").agg(F.collect_list(F.struct("bucket", "keys")).alias("hits"))
-    return materialise(docs.join(gathered, "doc_id", "left").select("doc_id", "text", "hits").mapInArrow(
+    return materialise(docs.join(hits, "doc_id", "left").select("doc_id", "text", "hits").mapInArrow(
         run, "doc_id long, n_words long, sha256 string, text string, starts binary"), "repeat-candidates")
 
 
 def repeated_windows(rows: DataFrame, buckets: int, length: int = LENGTH) -> DataFrame:
-    """(doc_id, bucket, keys): hashes of the windows of each document that a smaller document has too."""
+    """(doc_id, gone): hashes of the windows of each document that a smaller document has too."""
     def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for parts in _chunks(batches):
             kinds, owners = [], []
@@ -231,18 +248,19 @@ def repeated_windows(rows: DataFrame, buckets: int, length: int = LENGTH) -> Dat
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for bucket, key, doc, _ in _unpacked(batches, np.uint64):
             if bucket < 0:
-                yield _by_document(doc, key, -1 - bucket)
+                yield _addressed(doc, key, buckets)
                 continue
             order = np.lexsort((doc, key))
             key, doc = key[order], doc[order]
             run_of, first = _groups(key)
             keep = doc > doc[first][run_of]
             if keep.any():
-                yield _by_document(doc[keep], key[keep], bucket)
+                yield _addressed(doc[keep], key[keep], buckets)
 
     to = F.when(F.col("bucket") < 0, -1 - F.col("bucket")).otherwise(F.col("bucket"))
-    return rows.select("doc_id", "text", "starts").mapInArrow(entries, _ENTRIES) \
+    found = rows.select("doc_id", "text", "starts").mapInArrow(entries, _ENTRIES) \
         .repartitionById(buckets, to).mapInArrow(run, _HITS)
+    return gathered(found, buckets, "gone")
 
 
 def cut_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH,
@@ -257,8 +275,7 @@ def cut_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", len
     named = docs.where(F.col("doc_id").isNotNull())
     hits = anchor_hits(anchors(named, buckets, length, block), buckets)
     rows = candidates(docs, hits, buckets, length, block)
-    gone = repeated_windows(rows.where("starts is not null"), buckets, length) \
-        .groupBy("doc_id").agg(F.collect_list("keys").alias("gone"))
+    gone = repeated_windows(rows.where("starts is not null"), buckets, length)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
@@ -268,7 +285,7 @@ def cut_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", len
             out = []
             for d, keys in enumerate(part.column("gone").to_pylist()):
                 n, sha = part.column("n_words")[d].as_py(), part.column("sha256")[d].as_py()
-                keys = np.concatenate([np.frombuffer(k, np.uint64) for k in keys]) if keys else np.zeros(0, _U)
+                keys = np.frombuffer(keys or b"", _U)
                 own = slice(low[d], low[d + 1])
                 start = at[own][np.isin(got[own], keys)] - w.of[d] if len(keys) else keys
                 if not len(start):
