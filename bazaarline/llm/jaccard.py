@@ -2,14 +2,17 @@
 
 1. Every text becomes the set of its 5-word shingles (64-bit hashes); equal sets are one class.
 2. Candidates: with its shingles in one common order, rare ones first, a set that can reach
-   the similarity with another shares one of its first quarter with it. These are the keys of the
-   tiles; in a tile, sets are sorted by size, and only sizes within the ratio 3/4 meet.
+   the similarity with another shares ``COMMON`` of its first quarter (and a few more) with it. These
+   are the keys of the tiles; in a tile, sets are sorted by size, and only sizes within the ratio 3/4
+   meet. A set that meets others in fewer tiles is alike to none, and goes no further.
 3. Near copies are first linked in stars: classes that agree on a pair of minimum hashes are
    compared with one of them. In the tiles, sets that are already in one component need no
    comparison any more, so a large group of near copies costs no square of its size.
 4. Bounds: each class carries a bitmap of hashed shingles, sized with the set. Every bit in which
    two bitmaps differ stands for a shingle that only one set holds, so the count of differing bits
-   bounds the overlap from above. Pairs that pass are compared exactly as sorted arrays.
+   bounds the overlap from above. Where many classes meet in tiles, they are cut into bands of
+   sizes and blocks, and whole blocks of bitmaps are compared with one another.
+5. Pairs that pass are compared exactly as sorted arrays.
 
 The result does not depend on the order, on the stars or on the bitmaps: they only save work.
 
@@ -33,8 +36,12 @@ from .components import components
 from .words import Words, mix, packed, shingles, slices, spans
 
 WORDS = 5
+COMMON = 4               # first shingles that sets alike must share
 KEYS = 8                 # pairs of minimum hashes per class
 SKETCH_BITS = 18         # counters of the frequency sketch; a fixed size
+PAIRS_HELD = 500_000     # pairs that a task holds before it packs them
+TILE = 32                # classes up to which a tile emits its pairs one by one
+BLOCK = 1_000            # classes of a block of bitmaps
 LEAVES = 500             # members of a star that one group compares
 _U = np.uint64
 
@@ -50,13 +57,14 @@ def near_sizes(small, large):
 
 
 def prefix_length(n: np.ndarray) -> np.ndarray:
-    """Two sets alike share one of so many first shingles of either."""
-    return np.where(n > 0, n - (3 * n + 3) // 4 + 1, 0)
+    """Two sets alike share ``COMMON`` (or all that they must share, if fewer) of so many first shingles
+    of either: of the least overlap, all but ``COMMON`` can come later in the order."""
+    return np.where(n > 0, np.minimum(n, n - (3 * n + 3) // 4 + COMMON), 0)
 
 
 def _width(n: np.ndarray) -> np.ndarray:
-    """Bits of the bitmap of a set: a power of two, 64 or more, no fewer than shingles."""
-    return (2 ** np.maximum(6, np.ceil(np.log2(np.maximum(n, 1))))).astype(np.int64)
+    """Bits of the bitmap of a set: a power of two, 64 or more, and 8 to 16 for each shingle."""
+    return (2 ** np.maximum(6, np.ceil(np.log2(8.0 * np.maximum(n, 1))))).astype(np.int64)
 
 
 def _class_of(values: np.ndarray, of: np.ndarray) -> np.ndarray:
@@ -93,37 +101,35 @@ def _minima(values: np.ndarray, of: np.ndarray) -> np.ndarray:
     return out
 
 
-# pass 1: classes, bitmaps, minimum hashes and the frequency sketch ---------------------------
+# pass 1: classes and the frequency sketch -----------------------------------------------------
 
 def profile(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Stored: a row per document (kind 0: doc_id, n, class, keys and bitmap), and the parts of a
-    count sketch of all shingles per task (kind 1: n is the part)."""
+    """Stored: a row per document (kind 0: doc_id, n and class), and the parts of a count sketch of
+    all shingles per task (kind 1: n is the part)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << SKETCH_BITS, np.int64)
         known: set[int] = set()
         for batch in slices(batches):
             values, of = shingles(Words(batch.column("text"), lower=True), WORDS)
             n, f = np.diff(of), _class_of(values, of)
-            bits, bounds = _bitmaps(values, of)
             new = np.array([x not in known for x in f.tolist()], bool)
             known.update(f.tolist())
             chosen = values[spans(n[new], of[:-1][new])]
             counts += np.bincount((chosen >> _U(64 - SKETCH_BITS)).astype(np.int64), minlength=len(counts))
-            keys = _minima(values, of)
             rows = len(n)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.zeros(rows, np.int32)), batch.column("doc_id"), pa.array(n), pa.array(f),
-                 packed(keys.ravel(), np.arange(rows + 1) * KEYS), packed(bits, bounds)], names=_PROFILE)
+                 pa.nulls(rows, pa.binary())], names=_PROFILE)
         parts = counts.astype(np.uint32).reshape(16, -1)
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.ones(16, np.int32)), pa.nulls(16, pa.int64()), pa.array(np.arange(16)), pa.array(np.zeros(16, np.int64)),
-             pa.array([b""] * 16, pa.binary()), pa.array([p.tobytes() for p in parts], pa.binary())], names=_PROFILE)
+             pa.array([p.tobytes() for p in parts], pa.binary())], names=_PROFILE)
 
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return materialise(rows.mapInArrow(run, "kind int, doc_id long, n long, f long, keys binary, bits binary"), "shingle-profile")
+    return materialise(rows.mapInArrow(run, "kind int, doc_id long, n long, f long, counts binary"), "shingle-profile")
 
 
-_PROFILE = ["kind", "doc_id", "n", "f", "keys", "bits"]
+_PROFILE = ["kind", "doc_id", "n", "f", "counts"]
 
 
 def _levels(profiled: DataFrame) -> np.ndarray:
@@ -131,12 +137,12 @@ def _levels(profiled: DataFrame) -> np.ndarray:
     A table of ``2 ** SKETCH_BITS`` bytes, whatever the input."""
     def add(frame: pd.DataFrame) -> pd.DataFrame:
         total = np.zeros((1 << SKETCH_BITS) // 16, np.int64)
-        for part in frame["bits"]:
+        for part in frame["counts"]:
             total += np.frombuffer(part, np.uint32)
-        return pd.DataFrame({"n": frame["n"].iloc[:1], "bits": [total.tobytes()]})
+        return pd.DataFrame({"n": frame["n"].iloc[:1], "counts": [total.tobytes()]})
 
-    rows = profiled.where("kind = 1").select("n", "bits").groupBy("n").applyInPandas(add, "n long, bits binary").collect()
-    counts = np.concatenate([np.frombuffer(r.bits, np.int64) for r in sorted(rows, key=lambda r: r.n)]) if rows \
+    rows = profiled.where("kind = 1").select("n", "counts").groupBy("n").applyInPandas(add, "n long, counts binary").collect()
+    counts = np.concatenate([np.frombuffer(r.counts, np.int64) for r in sorted(rows, key=lambda r: r.n)]) if rows \
         else np.zeros(1 << SKETCH_BITS, np.int64)
     usual = np.median(counts) + 8 * np.sqrt(counts.mean() + 1)
     return np.minimum(255, np.maximum(0, counts / usual - 0.5) * 8).astype(np.uint8)
@@ -275,23 +281,29 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def star_pairs(classes: DataFrame) -> DataFrame:
-    """Each class with one class that shares a pair of minimum hashes with it, for every shared pair."""
+    """Each class with the most central one that shares a pair of minimum hashes with it, for every
+    shared pair. A text that others were made from has their frequent shingles and none of its own,
+    so it is the hub of its group."""
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             got = np.frombuffer(b"".join(batch.column("keys").to_pylist()), np.int64)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(got), pa.array(np.repeat(batch.column("f").to_numpy(), KEYS)),
-                 pa.array(np.repeat(batch.column("n").to_numpy(), KEYS))], names=["key", "f", "n"])
+                [pa.array(got), *(pa.array(np.repeat(batch.column(c).to_numpy(), KEYS)) for c in ("f", "n", "central"))],
+                names=["key", "f", "n", "central"])
 
-    keyed = classes.select("f", "n", "keys").mapInArrow(keys, "key long, f long, n long")
-    hubs = keyed.groupBy("key").agg(F.min(F.struct("f", "n")).alias("hub"), F.count(F.lit(1)).alias("c")).where("c > 1")
+    keyed = classes.select("f", "n", "central", "keys").mapInArrow(keys, "key long, f long, n long, central double")
+    hubs = keyed.groupBy("key").agg(F.max(F.struct("central", "f", "n")).alias("hub"), F.count(F.lit(1)).alias("c")).where("c > 1")
     small, large = F.least("n", "hub.n"), F.greatest("n", "hub.n")
     return keyed.join(hubs, "key").where((F.col("f") != F.col("hub.f")) & (100 * small >= 75 * large)) \
         .select(F.col("hub.f").alias("a"), F.col("f").alias("b")).distinct()
 
 
-def open_pairs(tiled: DataFrame, labels: DataFrame, buckets: int) -> DataFrame:
-    """Pairs that share a tile, have near sizes and are in no component together yet."""
+def open_tiles(named: DataFrame, lanes: int, most: int = TILE) -> tuple[DataFrame, DataFrame]:
+    """What the tiles (tile, f, n, label) leave open: pairs (a, b) of near sizes that share a small tile and are in no component
+    together yet, each once; and for large tiles (a, b) edges that tie their classes to families.
+
+    A pair meets in many tiles, so pairs travel packed, by a hash, to where they are made distinct.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [b for b in batches if b.num_rows]
         if not held:
@@ -305,60 +317,177 @@ def open_pairs(tiled: DataFrame, labels: DataFrame, buckets: int) -> DataFrame:
         number = np.cumsum(start) - 1
         mixed = np.zeros(number[-1] + 1, bool)
         mixed[number[1:][~start[1:] & (label[1:] != label[:-1])]] = True
-        keep = mixed[number]
+        large = np.bincount(number) > most
+        wide = (mixed & large)[number]
+        first = f[np.flatnonzero(start)][number]
+        if wide.any():
+            yield _packet(1, first[wide], f[wide], lanes)
+        keep = (mixed & ~large)[number]
         tile, f, n, label = tile[keep], f[keep], n[keep], label[keep]
-        at = np.arange(len(tile))
-        apart = 1
-        while len(at):
+        at, pairs = np.arange(len(tile)), []
+        for apart in range(1, most):
             at = at[at + apart < len(tile)]
             near = (tile[at] == tile[at + apart]) & near_sizes(n[at], n[at + apart])
             at = at[near]  # sizes ascend: what is too far apart here stays so
             hit = at[label[at] != label[at + apart]]
-            if len(hit):
-                x, y = f[hit], f[hit + apart]
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["a", "b"])
-            apart += 1
-
-    named = tiled.join(labels.withColumnRenamed("node", "f"), "f", "left") \
-        .select("tile", "f", "n", F.coalesce("label", "f").alias("label"))
-    return named.repartitionById(buckets, F.pmod(F.xxhash64("tile"), F.lit(buckets)).cast("int")) \
+            pairs.append((f[hit], f[hit + apart]))
+            if sum(len(x) for x, _ in pairs) > PAIRS_HELD:
+                yield _packet(0, *map(np.concatenate, zip(*pairs, strict=True)), lanes)
+                pairs = []
+        if pairs:
+            yield _packet(0, *map(np.concatenate, zip(*pairs, strict=True)), lanes)
+
+    def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = [(k, x) for batch in batches for k, x in
+                zip(batch.column("kind").to_pylist(), batch.column("pairs").to_pylist(), strict=True)]
+        for kind in (0, 1):
+            own = [np.frombuffer(x, np.int64).reshape(-1, 2) for k, x in rows if k == kind]
+            if own:
+                pair = np.unique(np.concatenate(own), axis=0)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(pair), kind, np.int32)), pa.array(pair[:, 0]),
+                                                  pa.array(pair[:, 1])], names=["kind", "a", "b"])
+
+    found = named.select("tile", "f", "n", "label").repartitionById(lanes, F.pmod(F.xxhash64("tile"), F.lit(lanes)).cast("int")) \
+        .mapInArrow(run, "kind int, lane int, pairs binary").repartitionById(lanes, F.col("lane")) \
+        .mapInArrow(distinct, "kind int, a long, b long")
+    found = materialise(found, "open-tiles")
+    return found.where("kind = 0").select("a", "b"), found.where("kind = 1").select("a", "b")
+
+
+def _packet(kind: int, x: np.ndarray, y: np.ndarray, lanes: int) -> pa.RecordBatch:
+    """Distinct pairs, the smaller class first, packed by lane."""
+    pair = np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)], axis=1), axis=0)
+    lane = (mix(mix(pair[:, 0].astype(_U)) ^ pair[:, 1].astype(_U)) % _U(lanes)).astype(np.int64)
+    order = np.argsort(lane, kind="stable")
+    used, first = np.unique(lane[order], return_index=True)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(np.full(len(used), kind, np.int32)), pa.array(used, pa.int32()),
+         packed(pair[order].ravel(), np.r_[first, len(lane)] * 2)], names=["kind", "lane", "pairs"])
+
+
+def family_pairs(edges: DataFrame, classes: DataFrame, labels: DataFrame, block: int = BLOCK) -> DataFrame:
+    """Pairs that the bit counts leave among classes that meet in large tiles, by blocks of near sizes.
+
+    A family (classes tied by large tiles) is cut into size bands, and each band into blocks of about
+    ``block`` classes; a component that fills blocks has blocks of its own, which are not compared with
+    one another. Every two blocks of one band or of bands next to each other come to one group, and
+    whole blocks of bitmaps are compared there: pairs are never rows before their bits are counted.
+    """
+    family = components(edges).withColumnsRenamed({"node": "f", "label": "family"})
+    rows = family.join(classes.select("f", "n", "bits"), "f").join(labels.withColumnRenamed("node", "f"), "f", "left") \
+        .withColumn("label", F.coalesce("label", "f")) \
+        .withColumn("band", F.floor(F.log("n") / F.lit(float(np.log(1.34)))).cast("int"))  # wider than 4/3
+    rows = materialise(rows, "families")
+    big = rows.groupBy("family", "band", "label").count().where(F.col("count") >= block) \
+        .select("family", "band", "label", F.lit(True).alias("big"))
+    rows = rows.join(big, ["family", "band", "label"], "left").withColumn("big", F.coalesce("big", F.lit(False))) \
+        .withColumn("own", F.when(F.col("big"), F.col("label")).otherwise(F.lit(0)))
+    of_block = ["family", "band", "big", "own"]
+    sizes = rows.groupBy(*of_block).agg(F.ceil(F.count(F.lit(1)) / F.lit(float(block))).cast("int").alias("parts"))
+    rows = rows.join(sizes, of_block).withColumn("part", F.pmod(F.xxhash64("f"), F.col("parts")).cast("int")).drop("parts")
+    of_block.append("part")
+    blocks = materialise(sizes.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(*of_block), "blocks")
+    left = blocks.select("family", *[F.col(c).alias(f"{c}_a") for c in of_block[1:]])
+    right = blocks.select("family", *[F.col(c).alias(f"{c}_b") for c in of_block[1:]])
+    at_a, at_b = (F.struct(*[F.col(f"{c}_{x}") for c in ("big", "own", "part")]) for x in "ab")
+    together = left.join(right, "family").where(
+        ((F.col("band_b") == F.col("band_a") + 1) | ((F.col("band_b") == F.col("band_a")) & (at_a <= at_b)))
+        & ~(F.col("big_a") & F.col("big_b") & (F.col("own_a") == F.col("own_b"))))
+    together = materialise(together.withColumn("tile", F.xxhash64("family", "band_a", at_a, "band_b", at_b)), "block-pairs")
+
+    def side(x: str, turn: int) -> DataFrame:
+        other = together if x == "a" else together.where(~((F.col("band_a") == F.col("band_b")) & at_a.eqNullSafe(at_b)))
+        keys = other.select("tile", "family", *[F.col(f"{c}_{x}").alias(c) for c in of_block[1:]])
+        return rows.join(keys, of_block).select("tile", F.lit(turn).alias("turn"), "f", "n", "label", "bits")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        for batch in batches:
+            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if held and held[0][0] != row[0]:
+                    yield _compared(held)
+                    held = []
+                held.append(row)
+        if held:
+            yield _compared(held)
+
+    return side("a", 0).unionByName(side("b", 1)).repartition("tile").sortWithinPartitions("tile", "turn") \
         .mapInArrow(run, "a long, b long").distinct()
 
 
-def jaccard_links(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
+def _compared(rows: list[tuple]) -> pa.RecordBatch:
+    """Pairs of one tile, of its two blocks or within its only one, that can be alike by their bits."""
+    _, turn, f, n, label, bits = zip(*rows, strict=True)
+    f, n, label, turn = np.array(f), np.array(n), np.array(label), np.array(turn)
+    words = min(len(x) for x in bits) // 8
+    maps = np.stack([np.bitwise_or.reduce(np.frombuffer(x, _U).reshape(-1, words), axis=0) for x in bits])
+    alone = not turn.any()
+    left, right = np.flatnonzero(turn == 0), np.arange(len(f)) if alone else np.flatnonzero(turn == 1)
+    found_a, found_b = [], []
+    step = max(1, (1 << 21) // max(1, len(right) * words))
+    for k in range(0, len(left), step):
+        part = left[k:k + step]
+        differ = np.bitwise_count(maps[part][:, None] ^ maps[right][None]).sum(axis=2, dtype=np.int64)
+        na, nb = n[part][:, None], n[right][None]
+        keep = alike((na + nb - differ) // 2, na, nb) & near_sizes(np.minimum(na, nb), np.maximum(na, nb))
+        keep &= label[part][:, None] != label[right][None]
+        i, j = np.nonzero(keep)
+        found_a.append(f[part[i]])
+        found_b.append(f[right[j]])
+    a, b = np.concatenate(found_a), np.concatenate(found_b)
+    return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+
+
+def jaccard_links(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", tile: int = TILE, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
     """Documents (doc_id, n, f: class) and links (a, b) between classes that connect all pairs alike."""
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     profiled = profile(docs)
-    tiled = tiles(prefixes(docs, _levels(profiled), buckets), buckets)
+    levels = _levels(profiled)
+    tiled = tiles(prefixes(docs, levels, buckets), buckets)
     members = profiled.where("kind = 0")
     # one document of every class that meets another one in a tile, with its text
-    meeting = tiled.select("f").distinct()
-    heads = members.where("doc_id is not null and n > 0").groupBy("f").agg(
-        F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("keys").alias("keys"), F.first("bits").alias("bits"))
-    classes = materialise(heads.join(meeting, "f"), "classes")
-    texts = materialise(docs.join(classes.select("doc_id", "f", "n"), "doc_id").select("f", "n", "text"), "class-texts")
-    texts = _of_class(texts)
+    least = F.least(F.lit(COMMON), F.ceil(F.col("n") * 0.75).cast("int"))
+    meeting = tiled.groupBy("f", "n").agg(F.count(F.lit(1)).alias("tiles")).where(F.col("tiles") >= least).select("f")
+    heads = members.where("doc_id is not null and n > 0").groupBy("f").agg(F.min("doc_id").alias("doc_id")).join(meeting, "f")
+    full = described(docs.join(heads, "doc_id").select("f", "text"), levels)
+    classes, texts = full.drop("text"), full.select("f", "text")
     stars = verified(bounded(star_pairs(classes), classes), texts)
     labels = components(stars)
-    rest = verified(bounded(open_pairs(tiled, labels, buckets), classes), texts)
+    named = classes.select("f").join(labels.withColumnRenamed("node", "f"), "f", "left") \
+        .select("f", F.coalesce("label", "f").alias("label"))
+    pairs, edges = open_tiles(tiled.join(named, "f"), buckets, tile)
+    left = bounded(pairs, classes).unionByName(family_pairs(edges, classes, labels, block)).distinct()
+    rest = verified(left, texts)
     return members.select("doc_id", "n", "f"), stars.unionByName(rest)
 
 
-def _of_class(texts: DataFrame) -> DataFrame:
-    """Where ids repeat, the join by id also brings texts of other classes; these go."""
+def described(texts: DataFrame, levels: np.ndarray) -> DataFrame:
+    """Stored, one row per class: f, n, minimum hashes, bitmap, how central it is, and a text.
+
+    Where ids repeat, the join by id has also brought texts of other classes; these go.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             values, of = shingles(Words(batch.column("text"), lower=True), WORDS)
+            n = np.diff(of)
+            bits, bounds = _bitmaps(values, of)
+            level = np.minimum(levels[(values >> _U(64 - SKETCH_BITS)).astype(np.int64)], 16).astype(float)
+            sums = np.r_[0.0, np.cumsum(level)]
+            central = (sums[of[1:]] - sums[of[:-1]]) / np.maximum(n, 1)
             own = pa.array(_class_of(values, of) == batch.column("f").to_numpy())
-            yield pa.RecordBatch.from_arrays([batch.column("f").filter(own), batch.column("text").filter(own)], names=["f", "text"])
+            yield pa.RecordBatch.from_arrays([c.filter(own) for c in (
+                batch.column("f"), pa.array(n), packed(_minima(values, of).ravel(), np.arange(len(n) + 1) * KEYS),
+                packed(bits, bounds), pa.array(central), batch.column("text"))], names=["f", "n", "keys", "bits", "central", "text"])
 
-    return texts.mapInArrow(run, "f long, text string").dropDuplicates(["f"])
+    schema = "f long, n long, keys binary, bits binary, central double, text string"
+    return materialise(texts.mapInArrow(run, schema).dropDuplicates(["f"]), "classes")
 
 
-def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, n_shingles and component_id (the smallest id reachable by links) of every row."""
-    members, links = jaccard_links(docs, doc_id, text)
+def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **sizes: int) -> DataFrame:
+    """doc_id, n_shingles and component_id (the smallest id reachable by links) of every row.
+    ``sizes`` (tile, block) only change how the work is cut."""
+    members, links = jaccard_links(docs, doc_id, text, **sizes)
     labels = components(links)
     heads = members.where("doc_id is not null and n > 0").groupBy("f").agg(F.min("doc_id").alias("head"))
     named = heads.join(labels.withColumnRenamed("node", "f"), "f", "left").withColumn("label", F.coalesce("label", "f"))

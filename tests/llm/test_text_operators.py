@@ -179,7 +179,8 @@ def test_jaccard_on_odd_rows(spark, odd_docs):
     assert jaccard.jaccard_components(frame(spark, [])).count() == 0
 
 
-def test_jaccard_near_the_threshold(spark):
+@pytest.mark.parametrize("sizes", [{}, {"tile": 2, "block": 5}])
+def test_jaccard_near_the_threshold(spark, sizes):
     rows, k = [], 0
     for group in range(12):
         base = passage(100 + group, 12 + 17 * group)
@@ -189,7 +190,7 @@ def test_jaccard_near_the_threshold(spark):
     hot = passage(77, 45)  # a passage of many documents that are otherwise unlike
     rows += [(2000 + i, " ".join(hot + passage(900 + i, 20 + i))) for i in range(60)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
-    assert Counter(map(tuple, jaccard.jaccard_components(docs).collect())) == brute_components(rows)
+    assert Counter(map(tuple, jaccard.jaccard_components(docs, **sizes).collect())) == brute_components(rows)
     heads = {c for _, _, c in brute_components(rows)}
     assert {r.doc_id for r in jaccard.one_per_component(docs).collect()} == heads
 
