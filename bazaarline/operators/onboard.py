@@ -142,7 +142,9 @@ def map_columns(columns: DataFrame, fuzzy: bool = True) -> DataFrame:
         .unionByName(syn.select("type", "field", "synonym", (F.col("syn_rank") + 1).alias("step"),
                                 F.lit(SYNONYM_CUTOFF).alias("cutoff")))
     pairs = spread_join(names, lacking, ["dataset", "type"]).join(F.broadcast(close), ["type", "field"])
-    rated = pairs.withColumn("ratio", similarity(F.col("synonym"), F.col("column"))).filter("ratio >= cutoff")
+    # the rating of two names does not depend on the dataset: each pair of names is rated once
+    ratings = pairs.select("synonym", "column").distinct().withColumn("ratio", similarity(F.col("synonym"), F.col("column")))
+    rated = pairs.join(ratings, ["synonym", "column"]).filter("ratio >= cutoff")
     fuzzed = rated.groupBy("dataset", "type", "field").agg(
         F.max_by("column", F.struct(-F.col("step"), F.col("ratio"), F.col("column"))).alias("fuzzy_column"))
     return mapped.join(fuzzed, ["dataset", "type", "field"], "left").select(

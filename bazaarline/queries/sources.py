@@ -51,7 +51,12 @@ def page_links(feeds):
     return extract_links(feeds.table("pages"))
 
 
-@query("src17_listings")
+@query("src17_listings", r"""
+select page_id, cast(pos-1 as int) as element,
+       replace(replace(replace(replace(replace(trim(regexp_replace(m, '<[^>]*>', '', 'g')), '&lt;', '<'), '&gt;', '>'),
+               '&quot;', '"'), '&#x27;', chr(39)), '&amp;', '&') as label
+from (select page_id, unnest(regexp_extract_all(html, '<li><a [^>]*>(.*?)</a>', 1)) as m,
+             generate_subscripts(regexp_extract_all(html, '<li><a [^>]*>(.*?)</a>', 1), 1) as pos from pages)""")
 def listings(feeds):
     return extract_listings(feeds.table("pages"), container="li", fields={"label": "a"})
 

@@ -18,7 +18,7 @@ def con():
 
 def test_the_contract(spark):
     assert set(entry.oracle_sql()) <= set(entry.queries())
-    assert set(QUERIES) - set(ORACLES) == {"src17_listings", "onb03_map_columns_fuzzy"}
+    assert set(QUERIES) - set(ORACLES) == {"onb03_map_columns_fuzzy"}
     assert entry.entry(spark).count() == 10
 
 
