@@ -16,6 +16,7 @@ from .rows import dedup
 
 Order = Sequence[str | Column]
 LOADED_AT = "_loaded_at"
+MONEY = "decimal(18,4)"
 
 
 def _replace(df: DataFrame, **cols: Column) -> DataFrame:
@@ -122,9 +123,18 @@ def to_silver(lake: Lake, source: str, run_id: str, order_by: Order = ("_file",
     return write_silver(lake, clean_delivery(bronze, source, order_by), source, run_id)
 
 
+def _silver_types(df: DataFrame, source: str) -> list[Column]:
+    """Columns of a known feed in its fixed types, so that deliveries of text, uploads and frames mix:
+    whole numbers as bigint, instants without a zone, and money as exact decimals."""
+    known = {f.name: f.dataType.simpleString() for f in schemas.layout(source)} if source in schemas.SOURCES else {}
+    exact = {"double": MONEY}
+    return [F.col(f"`{c}`").try_cast(exact.get(known[c], known[c])).alias(c) if c in known else F.col(f"`{c}`")
+            for c in df.columns]
+
+
 def write_silver(lake: Lake, df: DataFrame, source: str, run_id: str) -> str:
     """Store one run's silver rows with the time of the load, by which later loads win."""
-    stamped = df.withColumn(LOADED_AT, F.lit(datetime.now()).cast("timestamp_ntz"))
+    stamped = df.select(*_silver_types(df, source)).withColumn(LOADED_AT, F.lit(datetime.now()).cast("timestamp_ntz"))
     return lake.replace_partition(stamped, "silver", source, "run_id", run_id)
 
 
