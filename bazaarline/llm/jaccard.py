@@ -465,9 +465,12 @@ def jaccard_links(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", t
 def described(texts: DataFrame, levels: np.ndarray) -> DataFrame:
     """Stored, one row per class: f, n, minimum hashes, bitmap, how central it is, and a text.
 
-    Where ids repeat, the join by id has also brought texts of other classes; these go.
+    Where ids repeat, the join by id has also brought texts of other classes, and copies; these go.
+    The join has brought the rows of one id to one task, so copies are known there without a shuffle of texts
+    (one that comes twice all the same, from a split partition, only repeats links).
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: set[int] = set()
         for batch in slices(batches):
             values, of = shingles(Words(batch.column("text"), lower=True), WORDS)
             n = np.diff(of)
@@ -475,13 +478,18 @@ def described(texts: DataFrame, levels: np.ndarray) -> DataFrame:
             level = np.minimum(levels[(values >> _U(64 - SKETCH_BITS)).astype(np.int64)], 16).astype(float)
             sums = np.r_[0.0, np.cumsum(level)]
             central = (sums[of[1:]] - sums[of[:-1]]) / np.maximum(n, 1)
-            own = pa.array(_class_of(values, of) == batch.column("f").to_numpy())
+            wanted = batch.column("f").to_numpy()
+            keep = _class_of(values, of) == wanted
+            for i in np.flatnonzero(keep).tolist():
+                keep[i] = int(wanted[i]) not in known
+                known.add(int(wanted[i]))
+            own = pa.array(keep)
             yield pa.RecordBatch.from_arrays([c.filter(own) for c in (
                 batch.column("f"), pa.array(n), packed(_minima(values, of).ravel(), np.arange(len(n) + 1) * KEYS),
                 packed(bits, bounds), pa.array(central), batch.column("text"))], names=["f", "n", "keys", "bits", "central", "text"])
 
     schema = "f long, n long, keys binary, bits binary, central double, text string"
-    return materialise(texts.mapInArrow(run, schema).dropDuplicates(["f"]), "classes")
+    return materialise(texts.mapInArrow(run, schema), "classes")
 
 
 def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **sizes: int) -> DataFrame:
