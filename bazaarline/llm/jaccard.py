@@ -302,7 +302,10 @@ def open_tiles(named: DataFrame, lanes: int, most: int = TILE) -> tuple[DataFram
     """What the tiles (tile, f, n, label) leave open: pairs (a, b) of near sizes that share a small tile and are in no component
     together yet, each once; and for large tiles (a, b) edges that tie their classes to families.
 
-    A pair meets in many tiles, so pairs travel packed, by a hash, to where they are made distinct.
+    A pair meets in many tiles, so pairs travel packed, by a hash, to where their tiles are counted. Sets alike
+    meet in ``COMMON`` tiles at least. If one of these is large, both are in one family and compared there;
+    so a pair that meets in fewer small tiles goes no further. Sets of under ``COMMON`` + 1 shingles
+    may share fewer, and always go on.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [b for b in batches if b.num_rows]
@@ -321,48 +324,60 @@ def open_tiles(named: DataFrame, lanes: int, most: int = TILE) -> tuple[DataFram
         wide = (mixed & large)[number]
         first = f[np.flatnonzero(start)][number]
         if wide.any():
-            yield _packet(1, first[wide], f[wide], lanes)
+            yield _packet(1, first[wide], f[wide], np.full(wide.sum(), COMMON), lanes)
         keep = (mixed & ~large)[number]
         tile, f, n, label = tile[keep], f[keep], n[keep], label[keep]
-        at, pairs = np.arange(len(tile)), []
+        at, pairs, few = np.arange(len(tile)), [], np.where(n <= COMMON, COMMON, 1)
         for apart in range(1, most):
             at = at[at + apart < len(tile)]
             near = (tile[at] == tile[at + apart]) & near_sizes(n[at], n[at + apart])
             at = at[near]  # sizes ascend: what is too far apart here stays so
             hit = at[label[at] != label[at + apart]]
-            pairs.append((f[hit], f[hit + apart]))
-            if sum(len(x) for x, _ in pairs) > PAIRS_HELD:
+            pairs.append((f[hit], f[hit + apart], few[hit]))
+            if sum(len(x) for x, *_ in pairs) > PAIRS_HELD:
                 yield _packet(0, *map(np.concatenate, zip(*pairs, strict=True)), lanes)
                 pairs = []
         if pairs:
             yield _packet(0, *map(np.concatenate, zip(*pairs, strict=True)), lanes)
 
     def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = [(k, x) for batch in batches for k, x in
-                zip(batch.column("kind").to_pylist(), batch.column("pairs").to_pylist(), strict=True)]
+        rows = [row for batch in batches for row in
+                zip(*(batch.column(c).to_pylist() for c in ("kind", "pairs", "met")), strict=True)]
         for kind in (0, 1):
-            own = [np.frombuffer(x, np.int64).reshape(-1, 2) for k, x in rows if k == kind]
+            own = [np.frombuffer(x, np.int64).reshape(-1, 2) for k, x, _ in rows if k == kind]
             if own:
-                pair = np.unique(np.concatenate(own), axis=0)
+                met = np.concatenate([np.frombuffer(x, np.uint8) for k, _, x in rows if k == kind])
+                pair, met = _counted(np.concatenate(own), met)
+                pair = pair[met >= COMMON]
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(pair), kind, np.int32)), pa.array(pair[:, 0]),
                                                   pa.array(pair[:, 1])], names=["kind", "a", "b"])
 
     found = named.select("tile", "f", "n", "label").repartitionById(lanes, F.pmod(F.xxhash64("tile"), F.lit(lanes)).cast("int")) \
-        .mapInArrow(run, "kind int, lane int, pairs binary").repartitionById(lanes, F.col("lane")) \
+        .mapInArrow(run, "kind int, lane int, pairs binary, met binary").repartitionById(lanes, F.col("lane")) \
         .mapInArrow(distinct, "kind int, a long, b long")
     found = materialise(found, "open-tiles")
     return found.where("kind = 0").select("a", "b"), found.where("kind = 1").select("a", "b")
 
 
-def _packet(kind: int, x: np.ndarray, y: np.ndarray, lanes: int) -> pa.RecordBatch:
-    """Distinct pairs, the smaller class first, packed by lane."""
-    pair = np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)], axis=1), axis=0)
+def _counted(pair: np.ndarray, met: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct pairs and the sums of their ``met``, which say no more than "``COMMON`` or more" beyond it."""
+    order = np.lexsort((pair[:, 1], pair[:, 0]))
+    pair = pair[order]
+    first = np.flatnonzero(np.r_[True, (pair[1:] != pair[:-1]).any(axis=1)][:len(pair)])
+    sums = np.add.reduceat(met[order].astype(np.int64), first) if len(first) else np.zeros(0, np.int64)
+    return pair[first], np.minimum(sums, COMMON).astype(np.uint8)
+
+
+def _packet(kind: int, x: np.ndarray, y: np.ndarray, met: np.ndarray, lanes: int) -> pa.RecordBatch:
+    """Distinct pairs, the smaller class first, and in how many tiles they met, packed by lane."""
+    pair, met = _counted(np.stack([np.minimum(x, y), np.maximum(x, y)], axis=1), met)
     lane = (mix(mix(pair[:, 0].astype(_U)) ^ pair[:, 1].astype(_U)) % _U(lanes)).astype(np.int64)
     order = np.argsort(lane, kind="stable")
     used, first = np.unique(lane[order], return_index=True)
     return pa.RecordBatch.from_arrays(
         [pa.array(np.full(len(used), kind, np.int32)), pa.array(used, pa.int32()),
-         packed(pair[order].ravel(), np.r_[first, len(lane)] * 2)], names=["kind", "lane", "pairs"])
+         packed(pair[order].ravel(), np.r_[first, len(lane)] * 2), packed(met[order], np.r_[first, len(lane)])],
+        names=["kind", "lane", "pairs", "met"])
 
 
 def family_pairs(edges: DataFrame, classes: DataFrame, labels: DataFrame, block: int = BLOCK) -> DataFrame:
