@@ -195,6 +195,22 @@ def test_jaccard_near_the_threshold(spark, sizes):
     assert {r.doc_id for r in jaccard.one_per_component(docs).collect()} == heads
 
 
+def test_pairs_count_their_tiles():
+    rng = np.random.default_rng(7)
+    x, y = rng.integers(0, 12, 400), rng.integers(12, 24, 400)
+    met = np.where(rng.random(400) < 0.1, jaccard.COMMON, 1)
+    want = Counter()
+    for a, b, m in zip(x.tolist(), y.tolist(), met.tolist(), strict=True):
+        want[a, b] += m
+    # two packets and their sum, either way round
+    packets = [jaccard._packet(0, x[:150], y[:150], met[:150], 3), jaccard._packet(0, y[150:], x[150:], met[150:], 3)]
+    parts = [(np.frombuffer(p, np.int64).reshape(-1, 2), np.frombuffer(m, np.uint8)) for packet in packets
+             for p, m in zip(packet.column("pairs").to_pylist(), packet.column("met").to_pylist(), strict=True)]
+    pair, got = jaccard._counted(np.concatenate([p for p, _ in parts]), np.concatenate([m for _, m in parts]))
+    assert dict(zip(map(tuple, pair.tolist()), got.tolist(), strict=True)) == {k: min(v, jaccard.COMMON) for k, v in want.items()}
+    assert len(jaccard._counted(np.zeros((0, 2), np.int64), np.zeros(0, np.uint8))[0]) == 0
+
+
 def test_bitmaps_bound_the_overlap():
     a, b = " ".join(passage(1, 300)), " ".join(near(passage(1, 300), 3, 12) + passage(5, 400))
     values, of = shingles(Words(pa.array([a, b])))
