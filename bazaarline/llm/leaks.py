@@ -2,17 +2,16 @@
 
 Texts are sequences of words, A-Z lower-cased; the distance is the edit distance over words.
 
-1. Embedding. A random walk reads a sequence: each step writes the word at the pointer, then a random
-   bit that depends on step and word moves the pointer on or not. Two sequences at a small edit
-   distance meet again after each edit, so their walks differ in few steps (a small Hamming distance).
-2. Sampling. A key is the words at a few sampled steps. Items are grouped by length; for each group the
-   steps lie in the walk over a window as long as its shortest item. Every word position of a document is
-   the start of a window for every group, unless the words that no item has already make up more edits
-   than allowed. Walks stop being followed as soon as their first samples agree with no item.
-3. Repetitions, each with other bits and steps, are as many as the target recall needs, measured on
-   edited copies of the items themselves.
-4. Every hit is verified by the exact edit distance of the whole item to the best-fitting passage.
-
+1. Parts. An item within which ``e`` edits are allowed is cut into ``e + 1`` parts of nearly the same length.
+   Each edit touches one part at most, so every passage within ``e`` edits holds at least one part unchanged,
+   whatever the length of the item. At the given rate of 0.15 a part has four to seven words.
+2. Lookup. Every run of as many words as a part has is looked up among the parts of all items; of a part
+   longer than ``KEY_WORDS`` its first words are.
+3. Ruling out. The words around a part that belong to every passage through it are compared with the words of
+   the item; more strange words than edits, or more words missing at an end of the document, rule it out.
+4. Every hit left is verified by the exact edit distance of the whole item to the best-fitting passage.
+
+None of the steps loses a passage (a run is known by a 64-bit hash, which can only add hits to verify).
 A match within ``rate`` edits per item word is reported. Items are taken in blocks of a fixed number,
 so what is sent to the tasks is bounded; documents are never shuffled.
 
@@ -23,27 +22,22 @@ matched each. An empty table of documents or items gives no leaks.
 
 from __future__ import annotations
 
-from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
-from math import ceil, log
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .words import Words, mix, slices
+from .words import Words, mix, slices, spans, windows
 
 RATE = 0.15
-RECALL = 0.95
 MIN_WORDS = 8
-SAMPLES = 3
 BLOCK_ITEMS = 5_000
-RATIO = 1.3            # lengths of one group differ by this factor at most
-DEPTH = 1.4            # steps sampled from, per word of the shortest item of a group
+KEY_WORDS = 8          # words of a part that are looked up, at most
+HITS = 1 << 20         # looked up together
 _U = np.uint64
-_PAD = _U(0xA0761D6478BD642F)
 
 
 @dataclass
@@ -52,35 +46,7 @@ class Items:
 
     ids: list
     words: list[np.ndarray]
-    groups: list[np.ndarray]      # item numbers, by length
-    depth: list[int]              # steps that a group samples from
-    repeats: int
-    seed: int
-
-
-def _steps(seed: int, repeat: int, group: int, depth: int, samples: int) -> np.ndarray:
-    """Ascending distinct steps that one repetition samples for one group."""
-    return np.sort(np.random.RandomState((seed * 1_000_003 + repeat * 1_009 + group) % 2**32).choice(
-        depth, min(samples, depth), replace=False))
-
-
-def _coins(seed: int, repeat: int, steps: int) -> np.ndarray:
-    """One odd multiplier per step; the top bit of word times multiplier moves the pointer."""
-    return mix(np.arange(steps, dtype=_U) + mix(np.array([seed * 7919 + repeat + 1], _U))) | _U(1)
-
-
-def walk(words: np.ndarray, coins: np.ndarray) -> np.ndarray:
-    """The words that the walk over one sequence writes, padded past its end."""
-    out, i = np.full(len(coins), _PAD, _U), 0
-    for j, coin in enumerate(coins):
-        if i < len(words):
-            out[j] = words[i]
-        i += int((out[j:j + 1] * coin >> _U(63))[0])
-    return out
-
-
-def _key(known: np.ndarray, word: np.ndarray) -> np.ndarray:
-    return mix(known * _U(0x9E3779B97F4A7C15) + word)
+    edits: np.ndarray             # allowed, by item
 
 
 def edit_distance(item: np.ndarray, passage: np.ndarray) -> tuple[int, int, int]:
@@ -102,113 +68,113 @@ def edit_distance(item: np.ndarray, passage: np.ndarray) -> tuple[int, int, int]
     return int(cost[end]), int(start[end]), end
 
 
-def _edited(words: np.ndarray, edits: int, rng: np.random.RandomState) -> np.ndarray:
-    out = list(words)
-    for _ in range(edits):
-        at, kind = rng.randint(max(1, len(out))), rng.randint(3)
-        if kind != 1:
-            out.insert(at, mix(np.array([rng.randint(2**31)], _U))[0])
-        if kind != 0 and len(out) > 1:
-            out.pop(min(at + (kind == 2), len(out) - 1))
-    return np.array(out, _U)
-
-
-def _repeats(words: list[np.ndarray], groups: list[np.ndarray], depth: list[int], rate: float, recall: float,
-             samples: int, seed: int) -> int:
-    """Repetitions with which an item edited ``rate`` of its words is found with odds of ``recall``."""
-    rng, found = np.random.RandomState(seed), []
-    for g, members in enumerate(groups):
-        for item in rng.choice(members, min(len(members), 40)):
-            near = _edited(words[item], int(rate * len(words[item])), rng)
-            hits = 0
-            for r in range(24):
-                coins = _coins(seed + 1, r, depth[g])
-                steps = _steps(seed + 1, r, g, depth[g], samples)
-                hits += bool((walk(words[item], coins)[steps] == walk(near, coins)[steps]).all())
-            found.append((hits + 0.5) / 25)
-    odds = np.array(found)
-    for n in range(1, 200):
-        if (1 - (1 - odds) ** n).mean() >= recall:
-            return n
-    return 200
-
-
-def prepare(items: list[tuple], rate: float = RATE, recall: float = RECALL, min_words: int = MIN_WORDS,
-            samples: int = SAMPLES, seed: int = 0) -> Items:
+def prepare(items: list[tuple], rate: float = RATE, min_words: int = MIN_WORDS) -> Items:
+    if not 0 <= rate < 1:
+        raise ValueError(f"rate must be at least 0 and below 1, not {rate}")
     w = Words(pa.array([t for _, t in items], pa.string()), lower=True)
     hashes = w.hashes()
-    kept = [i for i in range(len(items)) if w.count[i] >= min_words]
+    kept = [i for i in range(len(items)) if w.count[i] >= max(1, min_words)]
     words = [hashes[w.of[i]:w.of[i + 1]] for i in kept]
-    sizes = np.array([len(x) for x in words], np.int64)
-    by_group = defaultdict(list)
-    for k, n in enumerate(sizes):
-        by_group[int(log(n / min_words) / log(RATIO))].append(k)
-    groups = [np.array(v) for _, v in sorted(by_group.items())]
-    depth = [max(samples, int(DEPTH * sizes[g].min())) for g in groups]
-    repeats = _repeats(words, groups, depth, rate, recall, samples, seed) if words else 0
-    return Items([items[i][0] for i in kept], words, groups, depth, repeats, seed)
+    return Items([items[i][0] for i in kept], words, np.array([int(rate * len(x)) for x in words], np.int64))
 
 
-class Finder:
-    """Looks the windows of a batch of documents up among the keys of the items."""
-
-    def __init__(self, items: Items, rate: float, samples: int = SAMPLES):
-        self.items, self.rate = items, rate
-        self.vocabulary = np.unique(np.concatenate(items.words)) if items.words else np.zeros(0, _U)
-        self.tables = []   # per repetition: coins, and per group: steps, known partial keys, final keys
-        for r in range(items.repeats):
-            coins = _coins(items.seed, r, max(items.depth))
-            rows = []
-            for g, members in enumerate(items.groups):
-                steps = _steps(items.seed, r, g, items.depth[g], samples)
-                written = np.stack([walk(items.words[k], coins[:items.depth[g]])[steps] for k in members])
-                key, known = np.zeros(len(members), _U), []
-                for s in range(len(steps)):
-                    key = _key(key, written[:, s])
-                    known.append(np.unique(key))
-                last = defaultdict(list)
-                for k, item in zip(key.tolist(), members.tolist(), strict=True):
-                    last[k].append(item)
-                rows.append((steps, known, last))
-            self.tables.append((coins, rows))
-
-    def _open(self, hashes: np.ndarray, of: np.ndarray) -> list[np.ndarray]:
-        """Per group: the windows whose beginning can be that of a passage within the edits allowed. A word
-        that no item has costs an edit, so more of those than edits rule the window out."""
-        n = len(hashes)
-        foreign = np.r_[0, np.cumsum(~_among(hashes, self.vocabulary))]
-        ends, at = np.repeat(of[1:], np.diff(of)), np.arange(n)
-        out = []
-        for members in self.items.groups:
-            sizes = [len(self.items.words[k]) for k in members]
-            most = int(self.rate * max(sizes))
-            sure = min(sizes) - most
-            upto = np.minimum(at + sure, ends)
-            out.append(np.flatnonzero((foreign[upto] - foreign[at] <= most) & (ends - at >= sure)))
-        return out
+class _Sieve:
+    """A set of hashes that may also say yes to a few others."""
+
+    def __init__(self, hashes: np.ndarray):
+        bits = max(12, len(hashes).bit_length() + 4)
+        self.shift, self.has = _U(64 - bits), np.zeros(1 << bits, bool)
+        self.has[hashes >> self.shift] = True
+
+    def __call__(self, hashes: np.ndarray) -> np.ndarray:
+        return self.has[hashes >> self.shift]
 
-    def _candidates(self, hashes: np.ndarray, of: np.ndarray) -> set[tuple[int, int]]:
-        """(first word, item) of the windows that share a key with an item."""
-        n = len(hashes)
-        found: set[tuple[int, int]] = set()
-        padded = np.r_[hashes, _PAD]
-        for g, first in enumerate(self._open(hashes, of)):
-            every = first, of[np.searchsorted(of, first, "right")]
-            for coins, groups in self.tables:
-                steps, known, last = groups[g]
-                (first, stop), key, j = every, np.zeros(len(every[0]), _U), 0
-                place = first
-                for s, step in enumerate(steps):
-                    while j < step:
-                        word = padded[np.where(place < stop, place, n)]
-                        place = place + (word * coins[j] >> _U(63)).astype(np.int64)
-                        j += 1
-                    key = _key(key, padded[np.where(place < stop, place, n)])
-                    keep = np.flatnonzero(_among(key, known[s]))
-                    first, stop, place, key = first[keep], stop[keep], place[keep], key[keep]
-                for p, k in zip(first.tolist(), key.tolist(), strict=True):
-                    found.update((p, item) for item in last[k])
-        return found
+
+class Finder:
+    """Looks the runs of words of a batch of documents up among the parts of the items."""
+
+    def __init__(self, items: Items):
+        self.items, self.edits = items, items.edits
+        self.sizes = np.array([len(x) for x in items.words], np.int64)
+        self.tables = []   # per length: sieve, keys, bounds of each key's parts, their items and offsets
+        if not items.words:
+            return
+        flat, of = np.concatenate(items.words), np.r_[0, np.cumsum(self.sizes)]
+        parts = self.edits + 1
+        owner = np.repeat(np.arange(len(parts)), parts)
+        j = spans(parts, np.zeros(len(parts), np.int64))
+        offset = j * self.sizes[owner] // parts[owner]
+        length = np.minimum((j + 1) * self.sizes[owner] // parts[owner] - offset, KEY_WORDS)
+        for q in np.unique(length).tolist():
+            these = np.flatnonzero(length == q)
+            values, at = windows(flat, of, q)
+            keys = values[np.searchsorted(at, of[owner[these]] + offset[these])]
+            order = np.argsort(keys, kind="stable")
+            these = these[order]
+            known, first = np.unique(keys[order], return_index=True)
+            self.tables.append((q, _Sieve(known), known, np.r_[first, len(these)], owner[these], offset[these]))
+        self.names = mix(np.arange(len(parts), dtype=_U) + _U(1))
+        self.own = _Sieve(mix(flat ^ np.repeat(self.names, self.sizes)))
+
+    def _hits(self, hashes: np.ndarray, of: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(first word, item, offset in the item) of every run of words that is a part, some at a time."""
+        for q, sieve, known, bounds, owner, offset in self.tables:
+            keys, at = windows(hashes, of, q)
+            maybe = np.flatnonzero(sieve(keys))
+            rank = np.minimum(np.searchsorted(known, keys[maybe]), len(known) - 1)
+            same = known[rank] == keys[maybe]
+            place, rank = at[maybe[same]], rank[same]
+            counts = bounds[rank + 1] - bounds[rank]
+            upto, i = np.cumsum(counts), 0
+            while i < len(place):
+                j = max(i + 1, int(np.searchsorted(upto, (upto[i - 1] if i else 0) + HITS, "right")))
+                take = spans(counts[i:j], bounds[rank[i:j]])
+                yield np.repeat(place[i:j], counts[i:j]), owner[take], offset[take]
+                i = j
+
+    def _possible(self, hashes: np.ndarray, low: np.ndarray, high: np.ndarray, start: np.ndarray, item: np.ndarray) -> np.ndarray:
+        """Which hits can be within the edits allowed. ``start`` is where the item begins if nothing before
+        the part is edited, ``low`` and ``high`` bound the document."""
+        n, most = self.sizes[item], self.edits[item]
+        lost = np.maximum(0, low - start) + np.maximum(0, start + n - high)
+        alive = np.flatnonzero(lost <= most)
+        at = np.maximum(start + most, low)[alive]
+        end = np.minimum(start + n - most, high)[alive]
+        left, name, sure = most[alive].copy(), self.names[item[alive]], []
+        while len(alive):
+            over = at >= end
+            sure.append(alive[over])
+            go = np.flatnonzero(~over)
+            alive, at, end, left, name = alive[go], at[go], end[go], left[go], name[go]
+            left -= ~self.own(mix(hashes[at] ^ name))
+            go = np.flatnonzero(left >= 0)
+            alive, at, end, left, name = alive[go], at[go] + 1, end[go], left[go], name[go]
+        return np.sort(np.concatenate(sure)) if sure else alive
+
+    def _windows(self, hashes: np.ndarray, of: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
+        """(text, item, first word, end) of the stretches that hold every passage of an item, by text, item
+        and first word; those that begin close together are one."""
+        found = [np.zeros((4, 0), np.int64)]
+        for place, item, offset in self._hits(hashes, of):
+            doc = np.searchsorted(of, place, "right") - 1
+            start = place - offset
+            keep = self._possible(hashes, of[doc], of[doc + 1], start, item)
+            doc, start, item = doc[keep], start[keep], item[keep]
+            low = np.maximum(of[doc], start - self.edits[item])
+            high = np.minimum(of[doc + 1], start + self.sizes[item] + self.edits[item])
+            found.append(np.stack([doc, item, low, high]))
+        doc, item, low, high = np.concatenate(found, axis=1)
+        order = np.lexsort((high, low, item, doc))
+        last = None
+        for d, k, a, b in zip(*(x[order].tolist() for x in (doc, item, low, high)), strict=True):
+            if last and last[:2] == (d, k) and a <= last[2] + len(self.items.words[k]) // 2:
+                last = d, k, last[2], max(b, last[3])
+                continue
+            if last:
+                yield last
+            last = d, k, a, b
+        if last:
+            yield last
 
     def find(self, texts: pa.Array) -> list[dict[int, tuple[int, int, int]]]:
         """Per text: item number -> (distance, first word, words) of its best passage."""
@@ -217,36 +183,23 @@ class Finder:
         out: list[dict[int, tuple[int, int, int]]] = [{} for _ in range(len(texts))]
         if not len(hashes) or not self.items.words:
             return out
-        seen: dict[tuple[int, int], list[int]] = defaultdict(list)
-        for p, item in self._candidates(hashes, w.of):
-            seen[int(np.searchsorted(w.of, p, "right")) - 1, item].append(p)
-        for (d, item), places in seen.items():
-            words = self.items.words[item]
-            most = int(self.rate * len(words))
-            done = -1
-            for p in sorted(places):
-                if p < done:
-                    continue  # inside the passage that was compared last, with room for the whole item
-                low, high = max(w.of[d], p - most), min(w.of[d + 1], p + 2 * len(words) + most)
-                done = p + len(words) // 2
-                passage = hashes[low:high]
-                if np.isin(words, passage).sum() < len(words) - most:
-                    continue
-                cost, a, b = edit_distance(words, passage)
-                if cost <= most:
-                    got = (cost, int(low - w.of[d] + a), b - a)
-                    out[d][item] = min(out[d].get(item, got), got)
+        for d, item, low, high in self._windows(hashes, w.of):
+            best = out[d].get(item)
+            if best and not best[0]:
+                continue  # the first unedited passage
+            words, passage, most = self.items.words[item], hashes[low:high], int(self.edits[item])
+            if not most and len(words) == high - low <= KEY_WORDS:
+                out[d][item] = 0, int(low - w.of[d]), len(words)
+                continue  # looked up as a whole
+            if np.isin(words, passage).sum() < len(words) - most:
+                continue
+            cost, a, b = edit_distance(words, passage)
+            if cost <= most:
+                got = (cost, int(low - w.of[d] + a), b - a)
+                out[d][item] = min(best or got, got)
         return out
 
 
-def _among(keys: np.ndarray, known: np.ndarray) -> np.ndarray:
-    if not len(known):
-        return np.zeros(len(keys), bool)
-    at = np.searchsorted(known, keys)
-    at[at == len(known)] = 0
-    return known[at] == keys
-
-
 def _blocks(items: DataFrame, item_id: str, text: str, size: int) -> Iterator[list[tuple]]:
     """The items in blocks of bounded size, one of them on the driver at a time."""
     block: list[tuple] = []
@@ -262,16 +215,16 @@ def _blocks(items: DataFrame, item_id: str, text: str, size: int) -> Iterator[li
 _FINDERS: dict[tuple, Finder] = {}
 
 
-def _finder(items: Items, rate: float) -> Finder:
+def _finder(items: Items) -> Finder:
     """One finder per worker and block of items."""
-    key = (tuple(items.ids), items.seed, items.repeats, rate, hash(tuple(w.tobytes() for w in items.words)))
+    key = (tuple(items.ids), items.edits.tobytes(), hash(tuple(w.tobytes() for w in items.words)))
     if key not in _FINDERS:
         _FINDERS.clear()
-        _FINDERS[key] = Finder(items, rate)
+        _FINDERS[key] = Finder(items)
     return _FINDERS[key]
 
 
-def find_leaks(docs: DataFrame, items: DataFrame, rate: float = RATE, recall: float = RECALL, min_words: int = MIN_WORDS,
+def find_leaks(docs: DataFrame, items: DataFrame, rate: float = RATE, min_words: int = MIN_WORDS,
                block_items: int = BLOCK_ITEMS, doc_id: str = "doc_id", item_id: str = "item_id", text: str = "text") -> DataFrame:
     """One row per document and item found in it: doc_id, item_id, distance (edited words), start (first
     word of the passage) and n_words (its words)."""
@@ -279,10 +232,10 @@ def find_leaks(docs: DataFrame, items: DataFrame, rate: float = RATE, recall: fl
     schema = "doc_id long, item_id long, distance int, start long, n_words long"
     out = docs.sparkSession.createDataFrame([], schema)
     for block in _blocks(items, item_id, text, block_items):
-        ready = prepare(block, rate, recall, min_words)
+        ready = prepare(block, rate, min_words)
 
         def run(batches: Iterator[pa.RecordBatch], ready: Items = ready) -> Iterator[pa.RecordBatch]:
-            finder = _finder(ready, rate)
+            finder = _finder(ready)
             for part in slices(batches):
                 ids = part.column("doc_id").to_pylist()
                 found = [(ids[d], ready.ids[item], *best) for d, hits in enumerate(finder.find(part.column("text")))
@@ -297,14 +250,14 @@ def find_leaks(docs: DataFrame, items: DataFrame, rate: float = RATE, recall: fl
     return out
 
 
-def without_leaks(docs: DataFrame, items: DataFrame, rate: float = RATE, recall: float = RECALL, min_words: int = MIN_WORDS,
+def without_leaks(docs: DataFrame, items: DataFrame, rate: float = RATE, min_words: int = MIN_WORDS,
                   block_items: int = BLOCK_ITEMS, item_id: str = "item_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` in which no item is found, with all their columns. Nothing is joined."""
     for block in _blocks(items, item_id, text, block_items):
-        ready = prepare(block, rate, recall, min_words)
+        ready = prepare(block, rate, min_words)
 
         def run(batches: Iterator[pa.RecordBatch], ready: Items = ready) -> Iterator[pa.RecordBatch]:
-            finder = _finder(ready, rate)
+            finder = _finder(ready)
             for part in slices(batches, text):
                 clean = pa.array([not hits for hits in finder.find(part.column(text))], pa.bool_())
                 yield pa.RecordBatch.from_arrays([c.filter(clean) for c in part.columns], schema=part.schema)
