@@ -4,7 +4,7 @@ Texts are sequences of words, A-Z lower-cased; the distance is the edit distance
 
 1. Parts. An item within which ``e`` edits are allowed is cut into ``e + 1`` parts of nearly the same length.
    Each edit touches one part at most, so every passage within ``e`` edits holds at least one part unchanged,
-   whatever the length of the item. At the given rate of 0.15 a part has four to seven words.
+   whatever the length of the item. At the given rate of 0.15 a part has three to seven words.
 2. Lookup. Every run of as many words as a part has is looked up among the parts of all items; of a part
    longer than ``KEY_WORDS`` its first words are.
 3. Ruling out. The words around a part that belong to every passage through it are compared with the words of
@@ -15,9 +15,10 @@ None of the steps loses a passage (a run is known by a 64-bit hash, which can on
 A match within ``rate`` edits per item word is reported. Items are taken in blocks of a fixed number,
 so what is sent to the tasks is bounded; documents are never shuffled.
 
-Rows: null and empty texts have no words and no leaks. Items with fewer than ``min_words`` words, null
-ones included, say too little to be searched for and are left out. Repeated items or documents are
-matched each. An empty table of documents or items gives no leaks.
+Rows: null and empty texts have no words and no leaks; an item without words is in no document. Every other
+item is searched for: one of fewer than seven words allows no edit at the given rate and is found where its
+words stand one after the other, a single word too. Repeated items or documents are matched each. An empty
+table of documents or items gives no leaks.
 """
 
 from __future__ import annotations
@@ -33,7 +34,6 @@ from pyspark.sql import functions as F
 from .words import Words, mix, slices, spans, windows
 
 RATE = 0.15
-MIN_WORDS = 8
 BLOCK_ITEMS = 5_000
 KEY_WORDS = 8          # words of a part that are looked up, at most
 HITS = 1 << 20         # looked up together
@@ -68,12 +68,12 @@ def edit_distance(item: np.ndarray, passage: np.ndarray) -> tuple[int, int, int]
     return int(cost[end]), int(start[end]), end
 
 
-def prepare(items: list[tuple], rate: float = RATE, min_words: int = MIN_WORDS) -> Items:
+def prepare(items: list[tuple], rate: float = RATE) -> Items:
     if not 0 <= rate < 1:
         raise ValueError(f"rate must be at least 0 and below 1, not {rate}")
     w = Words(pa.array([t for _, t in items], pa.string()), lower=True)
     hashes = w.hashes()
-    kept = [i for i in range(len(items)) if w.count[i] >= max(1, min_words)]
+    kept = [i for i in range(len(items)) if w.count[i]]
     words = [hashes[w.of[i]:w.of[i + 1]] for i in kept]
     return Items([items[i][0] for i in kept], words, np.array([int(rate * len(x)) for x in words], np.int64))
 
@@ -224,7 +224,7 @@ def _finder(items: Items) -> Finder:
     return _FINDERS[key]
 
 
-def find_leaks(docs: DataFrame, items: DataFrame, rate: float = RATE, min_words: int = MIN_WORDS,
+def find_leaks(docs: DataFrame, items: DataFrame, rate: float = RATE,
                block_items: int = BLOCK_ITEMS, doc_id: str = "doc_id", item_id: str = "item_id", text: str = "text") -> DataFrame:
     """One row per document and item found in it: doc_id, item_id, distance (edited words), start (first
     word of the passage) and n_words (its words)."""
@@ -232,7 +232,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, rate: float = RATE, min_words:
     schema = "doc_id long, item_id long, distance int, start long, n_words long"
     out = docs.sparkSession.createDataFrame([], schema)
     for block in _blocks(items, item_id, text, block_items):
-        ready = prepare(block, rate, min_words)
+        ready = prepare(block, rate)
 
         def run(batches: Iterator[pa.RecordBatch], ready: Items = ready) -> Iterator[pa.RecordBatch]:
             finder = _finder(ready)
@@ -250,11 +250,11 @@ def find_leaks(docs: DataFrame, items: DataFrame, rate: float = RATE, min_words:
     return out
 
 
-def without_leaks(docs: DataFrame, items: DataFrame, rate: float = RATE, min_words: int = MIN_WORDS,
+def without_leaks(docs: DataFrame, items: DataFrame, rate: float = RATE,
                   block_items: int = BLOCK_ITEMS, item_id: str = "item_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` in which no item is found, with all their columns. Nothing is joined."""
     for block in _blocks(items, item_id, text, block_items):
-        ready = prepare(block, rate, min_words)
+        ready = prepare(block, rate)
 
         def run(batches: Iterator[pa.RecordBatch], ready: Items = ready) -> Iterator[pa.RecordBatch]:
             finder = _finder(ready)

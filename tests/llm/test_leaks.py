@@ -50,7 +50,7 @@ def test_all_passages_of_few_words(seed):
     """Texts over a handful of words, where parts are met everywhere, against plain edit distances."""
     rng = np.random.RandomState(seed)
     names = [f"w{i}" for i in range(2 + 3 * seed)]
-    items = [rng.choice(names, rng.randint(8, 45)).tolist() for _ in range(25)]
+    items = [rng.choice(names, rng.randint(1, 45)).tolist() for _ in range(25)]
     texts = [rng.choice(names, rng.randint(0, 70)).tolist() for _ in range(25)]
     texts += [rng.choice(names, rng.randint(0, 9)).tolist() + edited(w, rng, int(leaks.RATE * len(w)) + rng.randint(2))[rng.randint(2):]
               for w in items]
@@ -61,3 +61,18 @@ def test_all_passages_of_few_words(seed):
     for text, hits in zip(texts, got, strict=True):
         for k, (cost, start, n) in hits.items():
             assert least_edits(items[k], text[start:start + n]) == cost
+
+
+def test_short_items(spark):
+    """Items of one to nine words: exact runs below seven words, one edit from seven on."""
+    text = "the river rose in spring and nobody had built a bridge across it"
+    items = {1: "bridge", 2: "Nobody had", 3: "rose  in\nspring and nobody", 4: "river rose in spring and nobody", 5: "had nobody",
+             6: "river rose in WINTER and nobody", 7: "river rose in winter and nobody had", 8: "in spring and nobody built a bridge across",
+             9: "river fell in winter and nobody had", 10: None, 11: " ", 12: "rid", 13: "bridge"}
+    docs = [(1, text), (2, "Bridge"), (3, None), (4, ""), (5, "abridged"), (6, "nobody"), (7, "had"), (8, "a bridge, no bridge bridge")]
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    bench = spark.createDataFrame(list(items.items()), "item_id long, text string")
+    got = {(r.doc_id, r.item_id): (r.distance, r.start, r.n_words) for r in leaks.find_leaks(frame, bench).collect()}
+    assert got == {(1, 1): (0, 10, 1), (1, 13): (0, 10, 1), (1, 2): (0, 6, 2), (1, 3): (0, 2, 5), (1, 4): (0, 1, 6), (1, 7): (1, 1, 7),
+                   (1, 8): (1, 3, 9), (2, 1): (0, 0, 1), (2, 13): (0, 0, 1), (8, 1): (0, 3, 1), (8, 13): (0, 3, 1)}
+    assert {r.doc_id for r in leaks.without_leaks(frame, bench).collect()} == {3, 4, 5, 6, 7}
