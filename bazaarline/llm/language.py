@@ -118,15 +118,32 @@ def with_likelihood(rows: DataFrame, model: np.ndarray, text: str = "text") -> D
 
 _DROP = re.compile(r"<(script|style|nav|footer|aside|noscript)\b.*?</\1\s*>|<!--.*?-->", re.S | re.I)
 _AD = re.compile(r'<div class="ad">.*?</div>', re.S | re.I)
-_MAIN = re.compile(r"<(article|main)\b[^>]*>(.*?)</\1\s*>", re.S | re.I)
+_HIDDEN = re.compile(r"<(script|style)\b.*?</\1\s*>|<!--.*?-->", re.S | re.I)
+_MAIN = re.compile(r"<(/?)(article|main)(?=[\s/>])[^>]*>", re.I)
 _TAG = re.compile(r"<[^>]*>")
 
 
+def _mains(source: str) -> Iterator[str]:
+    """What the outermost articles of a page hold, with those inside them; an open one runs to the end."""
+    inside, begin = [], 0
+    for tag in _MAIN.finditer(source):
+        name = tag[2].lower()
+        if not tag[1]:
+            begin = begin if inside else tag.end()
+            inside.append(name)
+        elif name in inside:
+            while inside.pop() != name:
+                pass
+            if not inside:
+                yield source[begin:tag.start()]
+    if inside:
+        yield source[begin:]
+
+
 def page_text(source: str | None) -> str:
-    """The readable text of a page: its article where it marks one, without navigation and markup."""
-    source = source or ""
-    main = [m[2] for m in _MAIN.finditer(source)]
-    body = " ".join(main) if main else source
+    """The readable text of a page: its articles where it marks some, without navigation and markup."""
+    source = _HIDDEN.sub(" ", source or "")
+    body = " ".join(_mains(source)) or source
     return entities.unescape(_TAG.sub(" ", _AD.sub(" ", _DROP.sub(" ", body)))).strip()
 
 
