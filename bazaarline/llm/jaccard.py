@@ -1,4 +1,8 @@
-"""Exact n-gram Jaccard join: all pairs of documents whose shingle sets overlap by 3/4 or more.
+"""Exact n-gram Jaccard join: components of documents whose shingle sets overlap by 3/4 or more.
+
+All pairs alike count for the components, which are exact. The links given out are a subset of these pairs that
+connects the same documents: pairs within a component that is already linked are left out, so in a group of near
+copies mostly the links to its hub come out, and the number of links of a document says nothing.
 
 1. Every text becomes the set of its 5-word shingles (64-bit hashes); equal sets are one class.
 2. Candidates: with its shingles in one common order, rare ones first, a set that can reach
@@ -14,7 +18,7 @@
    sizes and blocks, and whole blocks of bitmaps are compared with one another.
 5. Pairs that pass are compared exactly as sorted arrays.
 
-The result does not depend on the order, on the stars or on the bitmaps: they only save work.
+The components do not depend on the order, on the stars or on the bitmaps; which of their links come out does.
 
 Rows: null and empty texts and those without words have an empty set and link with nothing. A row
 with a null id gets its number of shingles and no component. Rows that repeat an id are documents of
@@ -454,7 +458,8 @@ def _compared(rows: list[tuple]) -> pa.RecordBatch:
 
 
 def jaccard_links(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", tile: int = TILE, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
-    """Documents (doc_id, n, f: class) and links (a, b) between classes that connect all pairs alike."""
+    """Documents (doc_id, n, f: class) and links (a, b) between classes: pairs alike, not all of them, that
+    connect all that are (see above)."""
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     profiled = profile(docs)
