@@ -56,7 +56,7 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("token_output", token_stage),
 ]
 
-# trained scores, sampled walks and tokenizers are beyond SQL: tests compare with plain versions
+# trained scores, edit distances and tokenizers are beyond SQL: tests/llm/test_pipeline.py compares with plain versions
 ORACLE_SQL: str | None = None
 
 
