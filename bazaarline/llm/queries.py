@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import shared_dir
-from . import fingerprints, jaccard, language, leaks, lines, mixing, quality, repeats, shards, tokens
+from . import fingerprints, jaccard, language, leaks, lines, mixing, quality, repeats, search, shards, tokens, tries, url_rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -120,3 +120,83 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(docs, pages.unionByName(plain)).select(
         F.when(F.col("kind") == "document", F.col("id")).alias("doc_id"),
         F.when(F.col("kind") == "page", F.col("id")).alias("page_id"), "host", "declared", "lang", "probability", "text_lang")
+
+
+# the verdicts of this list come before what is mined, and are what is learned from
+URL_RULES = [url_rules.Rule("com", "/", "allow"), url_rules.Rule("example.com", "/en/", "block"),
+             url_rules.Rule("www.example.com", "/en/", "allow"), url_rules.Rule("net", "/es/", "block"),
+             url_rules.Rule("net", "/fr/", "block")]
+
+
+@query("op11_url_rules")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_rules.judge(table(spark, sf_dir, "pages"), URL_RULES).select(
+        "page_id", "host", "path", "rule", "verdict", F.array_join("mined", " ").alias("mined"))
+
+
+@query("op12_conversation_trie", r"""
+with turns as (
+  select conv_id, coalesce(role, '') as role, coalesce(text, '') as text,
+         row_number() over (partition by conv_id order by turn nulls first, coalesce(role, ''),
+           md5(octet_length(encode(coalesce(role, '')))::varchar || ':' || coalesce(role, '') || coalesce(text, ''))) - 1 as pos
+  from conversations where conv_id is not null
+), sizes as (
+  -- crc32 of the decimal id, bit by bit: a byte (0 or more) is mixed in, then eight steps (-1) follow
+  select conv_id, count(*) as n, conv_id - conv_id % 5 as base,
+         xor(list_reduce(list_prepend(4294967295::bigint, flatten(list_transform(string_split(conv_id::varchar, ''),
+               lambda c: [ascii(c)::bigint, -1, -1, -1, -1, -1, -1, -1, -1]))),
+             lambda crc, b: case when b >= 0 then xor(crc, b)
+                              when crc % 2 = 1 then xor(crc // 2, 3988292384::bigint) else crc // 2 end),
+           4294967295::bigint) % 9 as h
+  from turns group by conv_id
+), taken as (select s.*, least(s.h, coalesce(b.n, 0)) as t from sizes s left join sizes b on b.conv_id = s.base),
+rebuilt as (
+  select k.conv_id, t.pos, t.role, t.text from taken k join turns t on t.conv_id = k.base and t.pos < k.t
+  union all
+  select k.conv_id, t.pos - k.h + k.t, t.role, t.text from taken k join turns t on t.conv_id = k.conv_id and t.pos >= k.h
+), paths as (
+  select s.conv_id, coalesce(list([r.role, r.text] order by r.pos) filter (where r.pos is not null), []) as path
+  from sizes s left join rebuilt r on r.conv_id = s.conv_id group by s.conv_id
+), nodes as (
+  select p.path[1:d.d] as prefix, d.d as depth, min(p.conv_id) as conv_id, count(*) as n_convs,
+         sha256(coalesce(string_agg(p.conv_id::varchar, ',' order by p.conv_id) filter (where len(p.path) = d.d), '')) as ends_sha256,
+         case when d.d = 0 then 0 else (count(*) - 1) * octet_length(encode(any_value(p.path[d.d][2]))) end as saved
+  from paths p, lateral (select unnest(range(0, len(p.path) + 1)) as d) d group by 1, 2
+), kids as (
+  select n.conv_id, n.depth, count(k.depth) as n_children, any_value(p.conv_id) as parent_conv_id,
+         any_value(n.prefix) as prefix, any_value(n.n_convs) as n_convs, any_value(n.ends_sha256) as ends_sha256, any_value(n.saved) as saved
+  from nodes n left join nodes k on k.depth = n.depth + 1 and k.prefix[1:n.depth] = n.prefix
+               left join nodes p on p.depth = n.depth - 1 and n.prefix[1:p.depth] = p.prefix
+  group by n.conv_id, n.depth
+)
+select n.conv_id, n.depth, n.parent_conv_id, n.n_convs, n.n_children, count(*) filter (where b.n_children = 0) as n_leaves,
+       sum(b.saved)::bigint as saved_tokens, n.ends_sha256
+from kids n join kids b on b.depth >= n.depth and b.prefix[1:n.depth] = n.prefix
+group by all""")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tries.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
+@query("op13_ranked_search", r"""
+with words as (
+  select d.doc_id, d.rowid as row, unnest(regexp_extract_all(translate(d.text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+  from (select doc_id, text, row_number() over () as rowid from documents) d
+), sizes as (select row, any_value(doc_id) as doc_id, count(*) as n from words group by row),
+totals as (select count(*) as nn, sum(n)::bigint as l from sizes),
+asked as (
+  select distinct i.item_id, unnest(regexp_extract_all(translate(i.text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                         '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+  from benchmark i
+), tfs as (select row, term, count(*) as tf from words where term in (select term from asked) group by row, term),
+weights as (select term, floor(1000 * ln((2 * nn + 2)::double / (2 * count(*) + 1)::double))::bigint as w from tfs, totals group by term, nn),
+scores as (
+  select a.item_id, t.row, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * nn) // l))))::bigint as score
+  from asked a join tfs t using (term) join weights using (term) join sizes s on s.row = t.row cross join totals
+  group by a.item_id, t.row
+), ranked as (
+  select item_id, row_number() over (partition by item_id order by score desc, doc_id) as rank, doc_id, score
+  from scores join sizes using (row) where score > 0)
+select item_id, rank::int as rank, doc_id, score from ranked where rank <= 10""")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

@@ -107,13 +107,14 @@ def runs(raw: np.ndarray, cuts: np.ndarray) -> np.ndarray:
 
 
 class Words:
-    """The words of a batch: ``start``/``end`` byte positions, and ``of[d]:of[d+1]`` for text d."""
+    """The words of a batch: ``start``/``end`` byte positions, and ``of[d]:of[d+1]`` for text d.
+    ``gaps`` marks the bytes that stand between words, white space if not given."""
 
-    def __init__(self, texts: pa.Array, lower: bool = False):
+    def __init__(self, texts: pa.Array, lower: bool = False, gaps: np.ndarray = _SPACE):
         raw, self.offs = buffers(texts)
         self.raw = _LOWER[raw] if lower else raw
         n = len(raw)
-        solid = ~_SPACE[raw]
+        solid = ~gaps[raw]
         before = np.zeros(n, bool)
         before[1:] = solid[:-1]
         cuts = self.offs[:-1]
