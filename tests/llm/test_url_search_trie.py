@@ -104,7 +104,8 @@ def test_verdict_of_the_best_rule(spark):
     assert [(r.verdict, r.mined) for r in got if r.page_id == 3] == [("allow", None)] * 2
 
 
-def test_long_urls_are_mined_in_spans(spark):
+def test_long_urls_are_mined_in_spans(spark, monkeypatch):
+    monkeypatch.setattr(url_rules, "SPAN", 8)
     long = [f"t{i:03d}" for i in range(60)]
     rows = [(long[: 30 + i % 30] + [f"v{i % 2}"], "block" if i % 2 else "allow") for i in range(60)]
     frame = spark.createDataFrame(rows, "tokens array<string>, verdict string")
