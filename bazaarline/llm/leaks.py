@@ -2,266 +2,278 @@
 
 Texts are sequences of words, A-Z lower-cased; the distance is the edit distance over words.
 
-1. Parts. An item within which ``e`` edits are allowed is cut into ``e + 1`` parts of nearly the same length.
-   Each edit touches one part at most, so every passage within ``e`` edits holds at least one part unchanged,
-   whatever the length of the item. At the given rate of 0.15 a part has three to seven words.
-2. Lookup. Every run of as many words as a part has is looked up among the parts of all items; of a part
-   longer than ``KEY_WORDS`` its first words are.
-3. Ruling out. The words around a part that belong to every passage through it are compared with the words of
-   the item; more strange words than edits, or more words missing at an end of the document, rule it out.
-4. Every hit left is verified by the exact edit distance of the whole item to the best-fitting passage.
-
-None of the steps loses a passage (a run is known by a 64-bit hash, which can only add hits to verify).
-A match within ``rate`` edits per item word is reported. Items are taken in blocks of a fixed number,
-so what is sent to the tasks is bounded; documents are never shuffled.
-
-Rows: null and empty texts have no words and no leaks; an item without words is in no document. Every other
-item is searched for: one of fewer than seven words allows no edit at the given rate and is found where its
-words stand one after the other, a single word too. Repeated items or documents are matched each. An empty
-table of documents or items gives no leaks.
+1. Windows. An item is cut into segments of at most ``SEGMENT`` words, all of about the same length: of the edits of a
+   passage, one segment at least has no more than its share. Segments are grouped by length, and every word position
+   of a document begins a window of that length, unless the words that no item has already make up more edits.
+2. Embedding. A random walk reads a window: each step writes the word at the pointer, then a random bit that depends
+   on step and word moves the pointer on or not (CGK). Two sequences at a small edit distance meet again after each
+   edit, so their walks differ in few steps: a small Hamming distance.
+3. Sampling. A key is the words at a few sampled steps. A window is followed only while its samples agree
+   with those of a segment. Each repetition has other bits and steps.
+4. Repetitions are counted for every length group by itself: edited copies of its items, at the full edit rate and between
+   other words, are searched with the keys to be used, until the share of them that is found, less two standard errors,
+   reaches ``recall``.
+   If ``MOST_REPEATS`` don't suffice, an error says so.
+5. Every hit is verified by the exact edit distance of the whole item to the best-fitting passage, so what
+   is reported is within ``rate`` edits per item word for certain.
+
+Passages are found with odds of ``recall`` or more at the full rate, and better with fewer edits (unedited ones always).
+``exact=True`` takes the complete search of ``parts`` instead. Items of fewer than ``MIN_WORDS`` words, too short for
+a window, are always searched so.
+
+Items are read in blocks of ``BLOCK_BYTES`` of text, which bounds what is broadcast; one pass over the documents serves
+a block. Documents are never shuffled.
+
+Rows: null and empty texts have no words and no leaks; an item without words is in no document. Repeated items or documents
+are matched each. An empty table of documents or items gives no leaks. Other columns, whatever their names, pass through
+``without_leaks`` and are not read by ``find_leaks``.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.functions import arrow_udf
+from pyspark.sql.types import BooleanType
 
-from .words import Words, mix, slices, spans, windows
+from .parts import Items, Parts, Sieve, Verifier, prepare
+from .words import mix, per_text, slices, spans
 
 RATE = 0.15
-BLOCK_ITEMS = 5_000
-KEY_WORDS = 8          # words of a part that are looked up, at most
-HITS = 1 << 20         # looked up together
+RECALL = 0.95
+MIN_WORDS = 8
+SEGMENT = 32
+RATIO = 1.3            # lengths of one group differ by this factor at most
+SAMPLES = 3
+DEPTH = 1.4            # steps sampled from, per word of the shortest segment of a group
+PROBES = 400           # edited copies searched for per group, each item of up to this many at least once
+MOST_REPEATS = 2_000
+BLOCK_BYTES = 8 << 20
 _U = np.uint64
-
-
-@dataclass
-class Items:
-    """A block of items, ready for the tasks."""
-
-    ids: list
-    words: list[np.ndarray]
-    edits: np.ndarray             # allowed, by item
-
-
-def edit_distance(item: np.ndarray, passage: np.ndarray) -> tuple[int, int, int]:
-    """Least edits from the item to a part of the passage, and where that part begins and ends."""
-    n = len(passage)
-    place = np.arange(n + 1)
-    cost, start = np.zeros(n + 1, np.int64), place.copy()
-    for k, word in enumerate(item, 1):
-        swap = np.r_[k, cost[:-1] + (passage != word)]
-        begin = np.r_[0, start[:-1]]
-        drop = cost + 1
-        begin = np.where(drop < swap, start, begin)
-        best = np.minimum(swap, drop)
-        lead = best - place                 # words added: one edit for each step to the right
-        low = np.minimum.accumulate(lead)
-        source = np.maximum.accumulate(np.where(lead == low, place, 0))
-        cost, start = low + place, begin[source]
-    end = int(np.argmin(cost))
-    return int(cost[end]), int(start[end]), end
-
-
-def prepare(items: list[tuple], rate: float = RATE) -> Items:
-    if not 0 <= rate < 1:
-        raise ValueError(f"rate must be at least 0 and below 1, not {rate}")
-    w = Words(pa.array([t for _, t in items], pa.string()), lower=True)
-    hashes = w.hashes()
-    kept = [i for i in range(len(items)) if w.count[i]]
-    words = [hashes[w.of[i]:w.of[i + 1]] for i in kept]
-    return Items([items[i][0] for i in kept], words, np.array([int(rate * len(x)) for x in words], np.int64))
-
-
-class _Sieve:
-    """A set of hashes that may also say yes to a few others."""
-
-    def __init__(self, hashes: np.ndarray):
-        bits = max(12, len(hashes).bit_length() + 4)
-        self.shift, self.has = _U(64 - bits), np.zeros(1 << bits, bool)
-        self.has[hashes >> self.shift] = True
-
-    def __call__(self, hashes: np.ndarray) -> np.ndarray:
-        return self.has[hashes >> self.shift]
+_PAD = _U(0xA0761D6478BD642F)
+
+
+def _random(*seeds: int) -> np.random.RandomState:
+    return np.random.RandomState(int(mix(np.array([sum(s * 1_000_003**i for i, s in enumerate(seeds)) % 2**63], _U))[0] % _U(2**32)))
+
+
+def walk(padded: np.ndarray, first: np.ndarray, stop: np.ndarray, coins: np.ndarray, steps: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Follow windows ``first .. stop`` of the words before the padding through the steps of the walk.
+
+    At every sampled step it gives the numbers of the windows still followed and the words they write; what is
+    sent back (a mask) says which of them to go on with.
+    """
+    n, at, place, j = len(padded) - 1, np.arange(len(first)), first, 0
+    for step in steps.tolist():
+        while j < step:
+            word = padded[np.where(place < stop, place, n)]
+            place = place + (word * coins[j] >> _U(63)).astype(np.int64)
+            j += 1
+        keep = yield at, padded[np.where(place < stop, place, n)]
+        at, place, stop = at[keep], place[keep], stop[keep]
+
+
+class Group:
+    """Segments of about the same length and their keys, repetition after repetition."""
+
+    def __init__(self, number: int, seed: int, words: np.ndarray, first: np.ndarray, size: np.ndarray,
+                 item: np.ndarray, offset: np.ndarray, edits: int):
+        self.number, self.seed = number, seed
+        self.padded, self.first, self.size = np.r_[words, _PAD], first, size
+        self.item, self.offset = item, offset
+        self.sure = max(1, int(size.min()) - edits)  # words of a window that belong to every passage beginning there
+        self.edits = edits
+        self.depth = max(SAMPLES, int(DEPTH * size.min()))
+        self.keys: list[tuple] = []
+
+    def repeat(self) -> tuple:
+        """The next repetition: coins, steps, known keys after each sample, final keys in order, their segments."""
+        rng = _random(self.seed, self.number, len(self.keys))
+        coins = mix(rng.randint(0, 2**62, self.depth).astype(_U)) | _U(1)
+        steps = np.sort(rng.choice(self.depth, SAMPLES, replace=False))
+        key, known = np.zeros(len(self.first), _U), []
+        follow = walk(self.padded, self.first, self.first + self.size, coins, steps)
+        at, word = next(follow)
+        for s in range(SAMPLES):
+            key = mix(key * _U(0x9E3779B97F4A7C15) + word)
+            known.append(Sieve(np.unique(key)))
+            if s + 1 < SAMPLES:
+                at, word = follow.send(np.ones(len(at), bool))
+        order = np.argsort(key, kind="stable")
+        self.keys.append((coins, steps, known, key[order], order))
+        return self.keys[-1]
+
+    def hits(self, repetition: tuple, padded: np.ndarray, first: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(window, segment) pairs that share a key. A window ends where its segments or its text do."""
+        coins, steps, known, keys, segments = repetition
+        if not len(first):
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        follow = walk(padded, first, stop, coins, steps)
+        at, word = next(follow)
+        key = np.zeros(len(first), _U)
+        for s in range(SAMPLES):
+            key = mix(key * _U(0x9E3779B97F4A7C15) + word)
+            keep = known[s](key)
+            key, left = key[keep], at[keep]
+            if s + 1 < SAMPLES:
+                at, word = follow.send(keep)
+        low, high = np.searchsorted(keys, key), np.searchsorted(keys, key, "right")
+        counts = high - low
+        return np.repeat(left, counts), segments[spans(counts, low)]
+
+    def open(self, foreign: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """First word and end of the windows that may hold a segment: ``foreign`` counts the words before each
+        place that no item has."""
+        n = len(foreign) - 1
+        ends, at = np.repeat(of[1:], np.diff(of)), np.arange(n)
+        upto = np.minimum(at + self.sure, ends)
+        first = np.flatnonzero((foreign[upto] - foreign[at] <= self.edits) & (ends - at >= self.sure))
+        return first, ends[first]
+
+
+class Walks(Verifier):
+    """Candidates by sampled random walks."""
+
+    def __init__(self, items: Items, recall: float = RECALL, seed: int = 0):
+        super().__init__(items)
+        self.groups: list[Group] = []
+        if not items.words:
+            return
+        flat, of = np.concatenate(items.words), np.r_[0, np.cumsum(self.sizes)]
+        self.vocabulary = np.unique(flat)
+        cuts = -(-self.sizes // SEGMENT)
+        length = np.log(np.maximum(self.sizes // cuts, MIN_WORDS) / MIN_WORDS) // np.log(RATIO)
+        for number in np.unique(length).tolist():
+            which = np.flatnonzero(length == number)
+            item = np.repeat(which, cuts[which])
+            j = spans(cuts[which], np.zeros(len(which), np.int64))
+            offset = j * self.sizes[item] // cuts[item]
+            size = (j + 1) * self.sizes[item] // cuts[item] - offset
+            group = Group(int(number), seed, flat, of[item] + offset, size, item, offset, int((self.edits[which] // cuts[which]).max()))
+            self.groups.append(group)
+            self._until(group, which, recall)
+
+    def _until(self, group: Group, which: np.ndarray, recall: float) -> None:
+        """Add repetitions to the group until the share of edited copies that is found reaches ``recall``."""
+        rng = _random(group.seed + 1, group.number)
+        probes = which if len(which) >= PROBES else np.resize(which, PROBES)
+        probes = rng.choice(probes, PROBES, replace=False) if len(probes) > PROBES else probes
+        noise = lambda n: mix(rng.randint(0, 2**62, n).astype(_U))
+        texts = [np.r_[noise(8), _edited(self.items.words[i], int(self.edits[i]), rng, noise), noise(8)] for i in probes.tolist()]
+        hashes, of = np.concatenate(texts), np.r_[0, np.cumsum([len(t) for t in texts])]
+        first, stop = group.open(self._foreign(hashes), of)
+        padded, text = np.r_[hashes, _PAD], np.searchsorted(of, first, "right") - 1
+        found = np.zeros(len(probes), bool)
+        # two standard errors of what is counted stay on the safe side
+        while found.mean() - 2 * np.sqrt(found.mean() * (1 - found.mean()) / len(found)) < recall:
+            if len(group.keys) == MOST_REPEATS:
+                raise RuntimeError(f"{MOST_REPEATS} repetitions find {found.mean():.3f} of edited items of {group.size.min()} "
+                                   f"to {group.size.max()} words, not {recall}; use exact=True or a lower rate")
+            window, segment = group.hits(group.repeat(), padded, first, stop)
+            found[text[window][group.item[segment] == probes[text[window]]]] = True
+
+    def _foreign(self, hashes: np.ndarray) -> np.ndarray:
+        at = np.minimum(np.searchsorted(self.vocabulary, hashes), len(self.vocabulary) - 1)
+        return np.r_[0, np.cumsum(self.vocabulary[at] != hashes)]
+
+    def starts(self, hashes: np.ndarray, of: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        padded, foreign = np.r_[hashes, _PAD], self._foreign(hashes)
+        for group in self.groups:
+            first, stop = group.open(foreign, of)
+            for repetition in group.keys:
+                window, segment = group.hits(repetition, padded, first, stop)
+                place = first[window]
+                pair = np.unique(np.stack([np.searchsorted(of, place, "right") - 1, group.item[segment], place - group.offset[segment]]), axis=1)
+                yield pair[0], pair[1], pair[2]
+
+
+def _edited(words: np.ndarray, edits: int, rng: np.random.RandomState, noise) -> np.ndarray:
+    """So many words added, dropped or replaced, at as many places."""
+    out = words.tolist()
+    places = np.sort(rng.choice(len(out), edits, replace=False))[::-1]
+    for at, kind, new in zip(places.tolist(), rng.randint(3, size=edits).tolist(), noise(edits).tolist(), strict=True):
+        out[at:at + (kind > 0)] = [new] * (kind < 2)
+    return np.array(out, _U)
 
 
 class Finder:
-    """Looks the runs of words of a batch of documents up among the parts of the items."""
+    """Walks for items of ``MIN_WORDS`` words and more, parts for the others, or parts for all (``exact``)."""
 
-    def __init__(self, items: Items):
-        self.items, self.edits = items, items.edits
-        self.sizes = np.array([len(x) for x in items.words], np.int64)
-        self.tables = []   # per length: sieve, keys, bounds of each key's parts, their items and offsets
-        if not items.words:
-            return
-        flat, of = np.concatenate(items.words), np.r_[0, np.cumsum(self.sizes)]
-        parts = self.edits + 1
-        owner = np.repeat(np.arange(len(parts)), parts)
-        j = spans(parts, np.zeros(len(parts), np.int64))
-        offset = j * self.sizes[owner] // parts[owner]
-        length = np.minimum((j + 1) * self.sizes[owner] // parts[owner] - offset, KEY_WORDS)
-        for q in np.unique(length).tolist():
-            these = np.flatnonzero(length == q)
-            values, at = windows(flat, of, q)
-            keys = values[np.searchsorted(at, of[owner[these]] + offset[these])]
-            order = np.argsort(keys, kind="stable")
-            these = these[order]
-            known, first = np.unique(keys[order], return_index=True)
-            self.tables.append((q, _Sieve(known), known, np.r_[first, len(these)], owner[these], offset[these]))
-        self.names = mix(np.arange(len(parts), dtype=_U) + _U(1))
-        self.own = _Sieve(mix(flat ^ np.repeat(self.names, self.sizes)))
-
-    def _hits(self, hashes: np.ndarray, of: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """(first word, item, offset in the item) of every run of words that is a part, some at a time."""
-        for q, sieve, known, bounds, owner, offset in self.tables:
-            keys, at = windows(hashes, of, q)
-            maybe = np.flatnonzero(sieve(keys))
-            rank = np.minimum(np.searchsorted(known, keys[maybe]), len(known) - 1)
-            same = known[rank] == keys[maybe]
-            place, rank = at[maybe[same]], rank[same]
-            counts = bounds[rank + 1] - bounds[rank]
-            upto, i = np.cumsum(counts), 0
-            while i < len(place):
-                j = max(i + 1, int(np.searchsorted(upto, (upto[i - 1] if i else 0) + HITS, "right")))
-                take = spans(counts[i:j], bounds[rank[i:j]])
-                yield np.repeat(place[i:j], counts[i:j]), owner[take], offset[take]
-                i = j
-
-    def _possible(self, hashes: np.ndarray, low: np.ndarray, high: np.ndarray, start: np.ndarray, item: np.ndarray) -> np.ndarray:
-        """Which hits can be within the edits allowed. ``start`` is where the item begins if nothing before
-        the part is edited, ``low`` and ``high`` bound the document."""
-        n, most = self.sizes[item], self.edits[item]
-        lost = np.maximum(0, low - start) + np.maximum(0, start + n - high)
-        alive = np.flatnonzero(lost <= most)
-        at = np.maximum(start + most, low)[alive]
-        end = np.minimum(start + n - most, high)[alive]
-        left, name, sure = most[alive].copy(), self.names[item[alive]], []
-        while len(alive):
-            over = at >= end
-            sure.append(alive[over])
-            go = np.flatnonzero(~over)
-            alive, at, end, left, name = alive[go], at[go], end[go], left[go], name[go]
-            left -= ~self.own(mix(hashes[at] ^ name))
-            go = np.flatnonzero(left >= 0)
-            alive, at, end, left, name = alive[go], at[go] + 1, end[go], left[go], name[go]
-        return np.sort(np.concatenate(sure)) if sure else alive
-
-    def _windows(self, hashes: np.ndarray, of: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
-        """(text, item, first word, end) of the stretches that hold every passage of an item, by text, item
-        and first word; those that begin close together are one."""
-        found = [np.zeros((4, 0), np.int64)]
-        for place, item, offset in self._hits(hashes, of):
-            doc = np.searchsorted(of, place, "right") - 1
-            start = place - offset
-            keep = self._possible(hashes, of[doc], of[doc + 1], start, item)
-            doc, start, item = doc[keep], start[keep], item[keep]
-            low = np.maximum(of[doc], start - self.edits[item])
-            high = np.minimum(of[doc + 1], start + self.sizes[item] + self.edits[item])
-            found.append(np.stack([doc, item, low, high]))
-        doc, item, low, high = np.concatenate(found, axis=1)
-        order = np.lexsort((high, low, item, doc))
-        last = None
-        for d, k, a, b in zip(*(x[order].tolist() for x in (doc, item, low, high)), strict=True):
-            if last and last[:2] == (d, k) and a <= last[2] + len(self.items.words[k]) // 2:
-                last = d, k, last[2], max(b, last[3])
-                continue
-            if last:
-                yield last
-            last = d, k, a, b
-        if last:
-            yield last
+    def __init__(self, items: Items, recall: float = RECALL, exact: bool = False):
+        long = np.array([not exact and len(w) >= MIN_WORDS for w in items.words], bool)
+        self.items = items
+        self.which = [np.flatnonzero(long), np.flatnonzero(~long)]
+        self.searches = [Walks(items.part(self.which[0]), recall), Parts(items.part(self.which[1]))]
 
     def find(self, texts: pa.Array) -> list[dict[int, tuple[int, int, int]]]:
         """Per text: item number -> (distance, first word, words) of its best passage."""
-        w = Words(texts, lower=True)
-        hashes = w.hashes()
         out: list[dict[int, tuple[int, int, int]]] = [{} for _ in range(len(texts))]
-        if not len(hashes) or not self.items.words:
-            return out
-        for d, item, low, high in self._windows(hashes, w.of):
-            best = out[d].get(item)
-            if best and not best[0]:
-                continue  # the first unedited passage
-            words, passage, most = self.items.words[item], hashes[low:high], int(self.edits[item])
-            if not most and len(words) == high - low <= KEY_WORDS:
-                out[d][item] = 0, int(low - w.of[d]), len(words)
-                continue  # looked up as a whole
-            if np.isin(words, passage).sum() < len(words) - most:
-                continue
-            cost, a, b = edit_distance(words, passage)
-            if cost <= most:
-                got = (cost, int(low - w.of[d] + a), b - a)
-                out[d][item] = min(best or got, got)
+        for which, search in zip(self.which, self.searches, strict=True):
+            if len(which):
+                for all_, hits in zip(out, search.find(texts), strict=True):
+                    all_.update({int(which[k]): v for k, v in hits.items()})
         return out
 
 
-def _blocks(items: DataFrame, item_id: str, text: str, size: int) -> Iterator[list[tuple]]:
-    """The items in blocks of bounded size, one of them on the driver at a time."""
-    block: list[tuple] = []
-    for row in items.select(item_id, text).toLocalIterator():
-        block.append((row[0], row[1]))
-        if len(block) == size:
-            yield block
-            block = []
-    if block:
-        yield block
-
-
-_FINDERS: dict[tuple, Finder] = {}
+def _finders(items: DataFrame, item_id: str, text: str, rate: float, recall: float, exact: bool, limit: int) -> Iterator[Broadcast]:
+    """A broadcast finder for each block of items; one block of at most ``limit`` bytes, or one item, on the driver at a time."""
+    spark, block, held = items.sparkSession, [], 0
 
+    def ready():
+        words = prepare(block, rate)
+        return [spark.sparkContext.broadcast(Finder(words, recall, exact))] if words.words else []
 
-def _finder(items: Items) -> Finder:
-    """One finder per worker and block of items."""
-    key = (tuple(items.ids), items.edits.tobytes(), hash(tuple(w.tobytes() for w in items.words)))
-    if key not in _FINDERS:
-        _FINDERS.clear()
-        _FINDERS[key] = Finder(items)
-    return _FINDERS[key]
+    for row in items.select(F.col(item_id).cast("long"), F.col(text).cast("string")).toLocalIterator():
+        size = len((row[1] or "").encode()) + 64
+        if block and held + size > limit:
+            yield from ready()
+            block, held = [], 0
+        block.append((row[0], row[1]))
+        held += size
+    yield from ready()
 
 
-def find_leaks(docs: DataFrame, items: DataFrame, rate: float = RATE,
-               block_items: int = BLOCK_ITEMS, doc_id: str = "doc_id", item_id: str = "item_id", text: str = "text") -> DataFrame:
+def find_leaks(docs: DataFrame, items: DataFrame, rate: float = RATE, recall: float = RECALL, exact: bool = False,
+               block_bytes: int = BLOCK_BYTES, doc_id: str = "doc_id", item_id: str = "item_id", text: str = "text") -> DataFrame:
     """One row per document and item found in it: doc_id, item_id, distance (edited words), start (first
     word of the passage) and n_words (its words)."""
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     schema = "doc_id long, item_id long, distance int, start long, n_words long"
     out = docs.sparkSession.createDataFrame([], schema)
-    for block in _blocks(items, item_id, text, block_items):
-        ready = prepare(block, rate)
+    for finder in _finders(items, item_id, text, rate, recall, exact, block_bytes):
 
-        def run(batches: Iterator[pa.RecordBatch], ready: Items = ready) -> Iterator[pa.RecordBatch]:
-            finder = _finder(ready)
+        def run(batches: Iterator[pa.RecordBatch], finder: Broadcast = finder) -> Iterator[pa.RecordBatch]:
             for part in slices(batches):
                 ids = part.column("doc_id").to_pylist()
-                found = [(ids[d], ready.ids[item], *best) for d, hits in enumerate(finder.find(part.column("text")))
+                found = [(ids[d], finder.value.items.ids[item], *best) for d, hits in enumerate(finder.value.find(part.column("text")))
                          for item, best in sorted(hits.items())]
                 columns = list(zip(*found, strict=True)) if found else [[]] * 5
                 kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64())
                 yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)],
                                                  names=["doc_id", "item_id", "distance", "start", "n_words"])
 
-        if ready.words:
-            out = out.unionByName(rows.mapInArrow(run, schema))
+        out = out.unionByName(rows.mapInArrow(run, schema))
     return out
 
 
-def without_leaks(docs: DataFrame, items: DataFrame, rate: float = RATE,
-                  block_items: int = BLOCK_ITEMS, item_id: str = "item_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` in which no item is found, with all their columns. Nothing is joined."""
-    for block in _blocks(items, item_id, text, block_items):
-        ready = prepare(block, rate)
+def without_leaks(docs: DataFrame, items: DataFrame, rate: float = RATE, recall: float = RECALL, exact: bool = False,
+                  block_bytes: int = BLOCK_BYTES, item_id: str = "item_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs`` in which no item is found, with all their columns. Nothing is joined, and no text comes back
+    from Python."""
+    for finder in _finders(items, item_id, text, rate, recall, exact, block_bytes):
+        docs = docs.where(_without(finder)(F.col(text)))
+    return docs
 
-        def run(batches: Iterator[pa.RecordBatch], ready: Items = ready) -> Iterator[pa.RecordBatch]:
-            finder = _finder(ready)
-            for part in slices(batches, text):
-                clean = pa.array([not hits for hits in finder.find(part.column(text))], pa.bool_())
-                yield pa.RecordBatch.from_arrays([c.filter(clean) for c in part.columns], schema=part.schema)
 
-        if ready.words:
-            docs = docs.mapInArrow(run, docs.schema)
-    return docs
+def _without(finder: Broadcast):
+    @arrow_udf(BooleanType())
+    def clean(texts: pa.Array) -> pa.Array:
+        found = per_text(lambda part: [not hits for hits in finder.value.find(part)], texts)
+        return pa.array([x for part in found for x in part], pa.bool_())
+
+    return clean

@@ -7,7 +7,9 @@ multi-byte character is ever cut. A null text is an empty one.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -68,8 +70,27 @@ def buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[offs[0]:offs[-1]], offs - offs[0]
 
 
+@cache
+def _trim():
+    try:
+        return ctypes.CDLL("libc.so.6").malloc_trim
+    except (OSError, AttributeError):  # no glibc, nothing to trim
+        return lambda _: 0
+
+
+def release() -> None:
+    """Give memory that is no longer used back to the system: workers outlive their tasks."""
+    pa.default_memory_pool().release_unused()
+    _trim()(0)
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """The batches cut so that each has about ``limit`` bytes of text, one text at least."""
+    """The batches cut so that each has about ``limit`` bytes of text, one text at least. Memory is released at the end."""
+    yield from _slices(batches, column, limit)
+    release()
+
+
+def _slices(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -81,6 +102,13 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int =
             at = upto
 
 
+def per_text(run, texts: pa.Array, limit: int = SLICE_BYTES) -> list:
+    """``run`` on slices of ``texts`` of about ``limit`` bytes each, and its results in order."""
+    whole = pa.RecordBatch.from_arrays([texts], names=["text"])
+    out = [run(part.column("text")) for part in slices(iter([whole]), "text", limit)]
+    return out
+
+
 def byte_hashes(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """A 64-bit hash of each ``raw[start:end]``; pieces ascend and don't overlap.
 

@@ -13,7 +13,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from bazaarline.llm import fingerprints, jaccard, language, leaks, lines, mixing, quality, repeats, shards, tokens
+from bazaarline.llm import fingerprints, jaccard, language, leaks, lines, mixing, parts, quality, repeats, shards, tokens
 from bazaarline.llm.components import components
 from bazaarline.llm.words import Words, shingles, windows
 
@@ -369,7 +369,7 @@ def brute_distance(item, text):
 @settings(max_examples=80, deadline=None)
 @given(st.lists(st.integers(0, 3), min_size=1, max_size=9), st.lists(st.integers(0, 3), max_size=14))
 def test_edit_distance(item, text):
-    cost, start, end = leaks.edit_distance(np.array(item, np.uint64), np.array(text, np.uint64))
+    cost, start, end = parts.edit_distance(np.array(item, np.uint64), np.array(text, np.uint64))
     assert cost == brute_distance(item, text)
     assert 0 <= start <= end <= len(text) and brute_distance(item, text[start:end]) <= cost
 
@@ -390,7 +390,7 @@ def test_leaks(spark, odd_docs):
     for (d, k), r in got.items():
         text = words_of(dict(rows)[d])[r.start:r.start + r.n_words]
         assert brute_distance(words_of(dict(items)[k]), text) <= r.distance <= int(leaks.RATE * len(words_of(dict(items)[k])))
-    in_blocks = {(r.doc_id, r.item_id) for r in leaks.find_leaks(docs, bench, block_items=7).collect()}
+    in_blocks = {(r.doc_id, r.item_id) for r in leaks.find_leaks(docs, bench, block_bytes=600).collect()}
     assert len(in_blocks) >= 0.95 * len(want) and in_blocks <= want
     clean = leaks.without_leaks(docs, bench)
     assert Counter(r.doc_id for r in clean.collect()) == Counter(d for d, _ in rows if d not in {d for d, _ in got})
