@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
-from pyspark.sql.types import ArrayType, DoubleType
+from pyspark.sql.types import ArrayType, BooleanType, DoubleType
 
 from ..session import materialise
 from .words import Words, mix, per_text, slices, windows
@@ -34,6 +34,7 @@ STATISTICS = ("words", "mean_word", "word_spread", "longest_word", "capitals", "
               "capital_starts")
 TO_POOLED, TO_UNIT = 0.3, 0.05
 THRESHOLD = 0.3
+SIEVE_BITS = 25            # of the table that tells which documents may have a label: 4 MB
 SLICE = 1 << 20            # bytes of text worked on at once: statistics take some 30 times as much
 
 _FLAGS = {
@@ -202,16 +203,40 @@ def score_documents(docs: DataFrame, labels: DataFrame, label: str = "quality",
         (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
+def _place(doc_id: Column) -> Column:
+    return F.pmod(F.xxhash64(doc_id), F.lit(1 << SIEVE_BITS))
+
+
+def _maybe_among(named: DataFrame):
+    """A test whether a place may be that of an id of ``named``: a table of 2**SIEVE_BITS bits, whatever the
+    number of ids. It lets all of them through, and others whose hash meets theirs, which a join rules out."""
+    at = _place(F.col("doc_id")) + 1
+    bits = named.groupBy(F.bitmap_bucket_number(at).alias("part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("bits"))
+    known = np.zeros(1 << SIEVE_BITS - 3, np.uint8)
+    for row in bits.collect():
+        known[(row["part"] - 1) * len(row["bits"]):row["part"] * len(row["bits"])] = np.frombuffer(row["bits"], np.uint8)
+    table = named.sparkSession.sparkContext.broadcast(known)
+
+    @arrow_udf(BooleanType())
+    def maybe(places: pa.Array) -> pa.Array:
+        at = places.to_numpy()
+        return pa.array((table.value[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool))
+
+    return maybe
+
+
 def accepted(docs: DataFrame, labels: DataFrame, label: str = "quality", threshold: float = THRESHOLD,
              doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` with a score of ``threshold`` or more, with all their columns.
 
-    Fitted like ``score_documents`` on the labelled rows of ``docs``; only their texts are worked on for it. All
-    rows are then scored where they are read: no text is shuffled, and none comes back from Python.
+    Fitted like ``score_documents`` on the labelled rows of ``docs``; only their texts (and those of a few others, see
+    ``_maybe_among``) are worked on for it. All rows are then scored where they are read: no text is shuffled, and
+    none comes back from Python.
     """
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     named = labels.select("doc_id", F.col(label).alias("label")).where(F.col("label").isNotNull() & ~held_out(F.col("doc_id")))
-    model = fit(with_statistics(rows.join(named, "doc_id"), keep=("label",)))
+    wanted = rows.where(_maybe_among(named)(_place(F.col("doc_id"))))
+    model = fit(with_statistics(wanted).join(named, "doc_id").select("stats", "label"))
 
     @arrow_udf(DoubleType())
     def score(texts: pa.Array) -> pa.Array:
