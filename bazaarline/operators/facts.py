@@ -9,8 +9,7 @@ from pyspark.sql import functions as F
 
 from .. import functions as fn
 from .rows import dedup, insert_absent, unseen
-from .scd import asof_join, asof_lookup
-from .skew import spread_joins
+from .scd import asof_join, asof_joins
 
 
 def calendar(*dates: tuple[DataFrame, str]) -> DataFrame:
@@ -69,9 +68,9 @@ def fact_orders(stg: DataFrame, dim_product: DataFrame, dim_customer: DataFrame,
                 as_of: bool = True, unique: bool = False, **spread) -> DataFrame:
     """New order facts. Unmatched products drop the row, unmatched customers map to member 1."""
     orders = _staged(stg, "order_id", "order_date", existing, unique)
-    orders = spread_joins(orders, [
-        asof_lookup(dim_product, "product_id", "order_date", ["product_sk"], as_of=as_of),
-        asof_lookup(dim_customer, "customer_id", "order_date", ["customer_sk"], "left", as_of)], **spread)
+    orders = asof_joins(orders, [
+        (dim_product, "product_id", "order_date", ["product_sk"], "inner", as_of),
+        (dim_customer, "customer_id", "order_date", ["customer_sk"], "left", as_of)], **spread)
     return with_date_id(orders, "order_date", dim_date).select(
         "order_id", "date_id", F.coalesce("customer_sk", F.lit(1)).cast("bigint").alias("customer_sk"),
         "product_sk", "quantity", "unit_price", (F.col("quantity") * F.col("unit_price")).alias("total_amount"),

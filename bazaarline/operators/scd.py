@@ -11,10 +11,14 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions.numbers import differs
+from .asof import asof_merge, widest_history
 from .keys import assign_sk
 from .rows import dedup
 from .skew import Lookup, running_by_instant, spread_joins
 
+# With more versions of one key than this, a point-in-time join is a merge in time, not a test of every version.
+WIDE = 64
+
 EFFECTIVE, END, CURRENT = "effective_date", "end_date", "is_current"
 
 
@@ -107,8 +111,23 @@ def asof_lookup(dim: DataFrame, key: str, ts: str, columns: Sequence[str], how:
 
 def asof_join(fact: DataFrame, dim: DataFrame, key: str, ts: str, columns: Sequence[str],
               how: str = "inner", as_of: bool = True, **spread) -> DataFrame:
-    """Fact rows with the dimension version of their time (see ``asof_lookup``)."""
-    return spread_joins(fact, [asof_lookup(dim, key, ts, columns, how, as_of)], **spread)
+    """Fact rows with the dimension version of their time (see ``asof_lookup``; ``asof_merge`` for wide histories)."""
+    return asof_joins(fact, [(dim, key, ts, columns, how, as_of)], **spread)
+
+
+def asof_joins(fact: DataFrame, steps: Sequence[tuple], **spread) -> DataFrame:
+    """Several joins of ``asof_join`` (dim, key, ts, columns, how, as_of), one after the other.
+
+    Dimensions with few versions a key are joined in one chain; one with wide histories takes a merge of its own.
+    """
+    chain: list[Lookup] = []
+    for dim, key, ts, columns, how, as_of in steps:
+        if as_of and widest_history(dim, key) > WIDE:
+            fact = spread_joins(fact, chain, **spread) if chain else fact
+            fact, chain = asof_merge(fact, dim, key, ts, columns, how, **spread), []
+        else:
+            chain.append(asof_lookup(dim, key, ts, columns, how, as_of))
+    return spread_joins(fact, chain, **spread) if chain else fact
 
 
 def overlap_pairs(dim: DataFrame, key: str) -> DataFrame:

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from .. import schemas
 from ..operators import audit, facts, rows, scd
+from ..operators.asof import asof_merge
 from ..operators.keys import assign_sk
 from ..plans import reports
 from ..plans.warehouse import CUSTOMER_COMPARE, PRODUCT_COMPARE, PRICE_TOLERANCE, merge_customers, merge_products
@@ -128,6 +130,44 @@ def jn04(feeds):
                       F.coalesce("customer_sk", F.lit(1)).cast("bigint").alias("customer_sk"), "segment")
 
 
+@query("jn03_point_in_time_merged", """
+select s.transaction_id, s.timestamp, p.product_sk, p.unit_price
+from o_pos s join dim_product p on s.product_id=p.product_id and s.timestamp>=p.effective_date
+     and (p.end_date is null or s.timestamp<p.end_date)""")
+def jn03_merged(feeds):
+    """The merge in time on histories of a few versions, large keys cut into ranges."""
+    return asof_merge(feeds.pos(), feeds.view("dim_product"), "product_id", "timestamp", ["product_sk", "unit_price"],
+                      range_rows=100).select("transaction_id", "timestamp", "product_sk", "unit_price")
+
+
+@query("jn04_point_in_time_default_merged", """
+select s.order_id, s.customer_id, coalesce(c.customer_sk, 1) as customer_sk, c.segment
+from o_erp s left join dim_customer c on s.customer_id=c.customer_id and s.order_date>=c.effective_date
+     and (c.end_date is null or s.order_date<c.end_date)""")
+def jn04_merged(feeds):
+    out = asof_merge(feeds.erp(), feeds.view("dim_customer"), "customer_id", "order_date", ["customer_sk", "segment"], "left")
+    return out.select("order_id", "customer_id",
+                      F.coalesce("customer_sk", F.lit(1)).cast("bigint").alias("customer_sk"), "segment")
+
+
+@query("jn03_wide_history", """
+with daily as (select store_id, date_trunc('day', timestamp) as effective_date, sum(quantity)::bigint as units from o_pos
+               where store_id is not null and timestamp is not null group by 1, 2),
+     versions as (select *, lead(effective_date) over (partition by store_id order by effective_date) as end_date from daily)
+select s.transaction_id, v.units from o_pos s left join versions v on s.store_id=v.store_id and s.timestamp - interval 36 hour>=v.effective_date
+     and (v.end_date is null or s.timestamp - interval 36 hour<v.end_date)""")
+def jn03_wide(feeds):
+    """Every sale with the units its store sold on the last selling day at least 36 hours earlier: a
+    store has a version for each day."""
+    pos = feeds.pos()
+    daily = pos.where("store_id is not null and timestamp is not null").groupBy(
+        "store_id", F.to_date("timestamp").cast("timestamp_ntz").alias("effective_date")).agg(F.sum("quantity").cast("bigint").alias("units"))
+    after = Window.partitionBy("store_id").orderBy("effective_date")  # one row per day
+    versions = materialise(daily.withColumn("end_date", F.lead("effective_date").over(after)), "selling-days")
+    sales = pos.select("transaction_id", "store_id", F.expr("timestamp - interval 36 hours").alias("at"))
+    return scd.asof_join(sales, versions, "store_id", "at", ["units"], "left").select("transaction_id", "units")
+
+
 @query("jn05_calendar_key", """
 select s.order_id, coalesce(d.date_id, cast(strftime(s.order_date,'%Y%m%d') as int)) as date_id
 from o_erp s left join (select * from o_calendar where year>=1998) d on cast(s.order_date as date)=d.full_date""")
