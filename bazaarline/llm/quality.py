@@ -21,10 +21,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
-from pyspark.sql.types import ArrayType, BooleanType, DoubleType
+from pyspark.sql.types import ArrayType, DoubleType
 
 from ..session import materialise
 from .words import Words, mix, per_text, slices, windows
@@ -97,18 +98,27 @@ def statistics(texts: pa.Array) -> np.ndarray:
         rate(again, 1.0), rate(np.bincount(doc[length <= 2], minlength=n), each), rate(starts, each)])
 
 
-def with_statistics(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """``keep`` columns and ``stats`` (array of doubles) of every row. No shuffle."""
+def with_statistics(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",), sieve: Broadcast | None = None,
+                    doc_id: str = "doc_id") -> DataFrame:
+    """``keep`` columns and ``stats`` (array of doubles) of every row, or of those that a ``sieve`` of ids lets through. No shuffle."""
     schema = docs.select(*keep).schema.add("stats", ArrayType(DoubleType()))
 
+    def wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if sieve is not None:
+                at = batch.column("__place").to_numpy()
+                batch = batch.filter(pa.array((sieve.value[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)))
+            yield batch
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "__text", SLICE):
+        for batch in slices(wanted(batches), "__text", SLICE):
             got = statistics(batch.column("__text"))
             width = got.shape[1]
             stats = pa.ListArray.from_arrays(pa.array(np.arange(0, got.size + 1, width), pa.int32()), pa.array(got.ravel()))
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), stats], names=[*keep, "stats"])
 
-    return docs.select(*keep, F.col(text).alias("__text")).mapInArrow(run, schema)
+    place = [] if sieve is None else [_place(F.col(doc_id)).alias("__place")]
+    return docs.select(*keep, F.col(text).alias("__text"), *place).mapInArrow(run, schema)
 
 
 @dataclass
@@ -207,22 +217,15 @@ def _place(doc_id: Column) -> Column:
     return F.pmod(F.xxhash64(doc_id), F.lit(1 << SIEVE_BITS))
 
 
-def _maybe_among(named: DataFrame):
-    """A test whether a place may be that of an id of ``named``: a table of 2**SIEVE_BITS bits, whatever the
-    number of ids. It lets all of them through, and others whose hash meets theirs, which a join rules out."""
+def _sieve(named: DataFrame) -> Broadcast:
+    """A table of 2**SIEVE_BITS bits, whatever the number of ids, with those of the places of all ids of ``named`` set.
+    It lets all of them through, and others whose hash meets theirs, which a join rules out."""
     at = _place(F.col("doc_id")) + 1
     bits = named.groupBy(F.bitmap_bucket_number(at).alias("part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("bits"))
     known = np.zeros(1 << SIEVE_BITS - 3, np.uint8)
     for row in bits.collect():
         known[(row["part"] - 1) * len(row["bits"]):row["part"] * len(row["bits"])] = np.frombuffer(row["bits"], np.uint8)
-    table = named.sparkSession.sparkContext.broadcast(known)
-
-    @arrow_udf(BooleanType())
-    def maybe(places: pa.Array) -> pa.Array:
-        at = places.to_numpy()
-        return pa.array((table.value[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool))
-
-    return maybe
+    return named.sparkSession.sparkContext.broadcast(known)
 
 
 def accepted(docs: DataFrame, labels: DataFrame, label: str = "quality", threshold: float = THRESHOLD,
@@ -230,13 +233,12 @@ def accepted(docs: DataFrame, labels: DataFrame, label: str = "quality", thresho
     """The rows of ``docs`` with a score of ``threshold`` or more, with all their columns.
 
     Fitted like ``score_documents`` on the labelled rows of ``docs``; only their texts (and those of a few others, see
-    ``_maybe_among``) are worked on for it. All rows are then scored where they are read: no text is shuffled, and
+    ``_sieve``) are worked on for it. All rows are then scored where they are read: no text is shuffled, and
     none comes back from Python.
     """
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     named = labels.select("doc_id", F.col(label).alias("label")).where(F.col("label").isNotNull() & ~held_out(F.col("doc_id")))
-    wanted = rows.where(_maybe_among(named)(_place(F.col("doc_id"))))
-    model = fit(with_statistics(wanted).join(named, "doc_id").select("stats", "label"))
+    model = fit(with_statistics(rows, sieve=_sieve(named)).join(named, "doc_id").select("stats", "label"))
 
     @arrow_udf(DoubleType())
     def score(texts: pa.Array) -> pa.Array:

@@ -15,8 +15,8 @@ import numpy as np
 import pyarrow as pa
 
 # Work is done on slices of about this many bytes, so memory follows one slice, not the task.
-SLICE_BYTES = 4 << 20
-_STRETCH = 1 << 20
+SLICE_BYTES = 1 << 20
+_STRETCH = 1 << 18
 
 _U = np.uint64
 _SPACE = np.zeros(256, bool)
