@@ -52,8 +52,9 @@ def with_default(dim: DataFrame, default_row: Mapping, sk: str) -> DataFrame:
 def scd2_merge(dim: DataFrame, stg: DataFrame, key: str, compare: Sequence[str], load_ts: str | datetime,
                sk: str, tolerance: Mapping[str, float] | None = None, null_safe: bool = False,
                default_row: Mapping | None = None, first_effective: str = schemas.FIRST_EFFECTIVE,
-               history_aware: bool = True) -> DataFrame:
-    """Next snapshot of a Type 2 dimension.
+               history_aware: bool = True, start: int | None = None) -> DataFrame:
+    """Next snapshot of a Type 2 dimension, or of the part of it that holds the staged keys: new surrogate keys then
+    begin after ``start``, the largest of the whole.
 
     Current versions that differ from staging end at ``load_ts``; their new versions start
     there. Unknown keys start at ``first_effective``, and so do keys without a current version
@@ -89,11 +90,18 @@ def scd2_merge(dim: DataFrame, stg: DataFrame, key: str, compare: Sequence[str],
         key, *attrs,
         F.when(known, load).otherwise(ntz(first_effective)).alias(EFFECTIVE),
         F.lit(None).cast("timestamp_ntz").alias(END), F.lit(True).alias(CURRENT))
-    numbered = assign_sk(fresh, sk, [key, *attrs], start=dim.select(F.max(sk)).scalar())
+    numbered = assign_sk(fresh, sk, [key, *attrs], start=dim.select(F.max(sk)).scalar() if start is None else start)
     aligned = numbered.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in dim.schema])
     return kept.unionByName(aligned)
 
 
+def scd2_dirty(dim: DataFrame, stg: DataFrame, key: str, compare: Sequence[str],
+               tolerance: Mapping[str, float] | None = None, null_safe: bool = False) -> DataFrame:
+    """Staged keys that ``scd2_merge`` gives a new version: changed ones, and those without a current one."""
+    new = stg.select(key).join(dim.filter(CURRENT).select(key), key, "left_anti")
+    return changed_keys(dim, stg, key, compare, tolerance, null_safe).unionByName(new.distinct())
+
+
 def asof_lookup(dim: DataFrame, key: str, ts: str, columns: Sequence[str], how: str = "inner",
                 as_of: bool = True) -> Lookup:
     """The dimension version valid at ``ts`` (start included, end excluded), as a lookup.

@@ -11,6 +11,7 @@ from .. import schemas
 from ..operators import audit, clean, facts, gold, scd
 from ..operators.rows import dedup, upsert
 from ..session import counted, row_count
+from ..sources.buckets import BucketTable, Manifest
 from ..sources.lake import Lake
 from ..sources.tables import publish_gold
 
@@ -37,12 +38,27 @@ def load_dimensions(lake: Lake, run_id: str, load_ts: str | datetime, stores: Da
         layout = schemas.layout("dim_store")
         fresh = dedup(schemas.fit(stores, "dim_store").dropna(subset=["store_id"]), ["store_id"], layout.names)
         lake.publish(upsert(lake.snapshot("dim_store", layout), fresh, ["store_id"]), "dim_store")
-    for source, table, merge in (("crm_customers", "dim_customer", merge_customers),
-                                 ("products", "dim_product", merge_products)):
+    for source, table in (("crm_customers", "dim_customer"), ("products", "dim_product")):
         silver = lake.read("silver", f"{source}/run_id={run_id}")
         if silver is not None:
-            dim = lake.snapshot(table, schemas.layout(table))
-            lake.publish(merge(dim, silver, load_ts), table)
+            merge_dimension(lake, table, silver, load_ts)
+
+
+def merge_dimension(lake: Lake, table: str, stg: DataFrame, load_ts: str | datetime, bucket_rows: int | None = None) -> Manifest:
+    """Merge a delivery into a stored dimension: only buckets with changed or new keys are written."""
+    key, number, merge, compare, tolerance = {
+        "dim_customer": ("customer_id", "customer_sk", merge_customers, CUSTOMER_COMPARE, {}),
+        "dim_product": ("product_id", "product_sk", merge_products, PRODUCT_COMPARE, {"unit_price": PRICE_TOLERANCE})}[table]
+    stored = BucketTable(lake, table, key, number, schemas.layout(table), bucket_rows)
+    attrs = [c for c in stored.schema.names if c not in (key, number, scd.EFFECTIVE, scd.END, scd.CURRENT)]
+    staged = dedup(stg.select(key, *attrs), [key], attrs)
+
+    def change(dim: DataFrame, batch: DataFrame, top: int | None) -> DataFrame:
+        # the default member comes with the first merge; later ones see a part of the dimension only
+        return merge(dim, batch, load_ts, **({} if top is None else {"default_row": None, "start": top}))
+
+    return stored.merge(staged, lambda dim, batch: scd.scd2_dirty(dim, batch, key, compare, tolerance), change,
+                        first=lake.snapshot(table, stored.schema))
 
 
 def load_facts(lake: Lake, run_id: str) -> dict[str, int]:

@@ -78,6 +78,26 @@ def fact_stream(feeds):
     return facts.join(product, "product_sk").select("transaction_id", "date_id", "store_id", "product_id", "quantity")
 
 
+@query("str02_stream_orders", """
+select s.order_id, cast(strftime(s.order_date,'%Y%m%d') as int) as date_id, coalesce(c.customer_id, 99999) as customer_id,
+       s.product_id, s.quantity, s.region
+from o_erp s join products p on s.product_id=p.product_id left join crm_first c on s.customer_id=c.customer_id
+where s.order_date>=TS('2000-01-01 00:00:00')""")
+def order_stream(feeds):
+    """Products and customers, then orders, through the streams; the facts with their business keys."""
+    spark, lake = feeds.spark, _new_lake(feeds)
+    write_bronze(feeds.view("products"), lake, "products", "stream-0")
+    write_bronze(feeds.view("crm_first"), lake, "crm_customers", "stream-0")
+    write_bronze(_with_position(feeds.view("erp"), *feeds.ERP_ORDER).drop("ord1", "ord2", "ord3"), lake, "erp_orders", "stream-0")
+    for source in ("products", "crm_customers", "erp_orders"):
+        stream_warehouse(spark, lake, source, lake.scratch("checkpoint"), LOAD_TS).awaitTermination()
+    facts = lake.facts("fact_orders", layout("fact_orders"))
+    product = lake.snapshot("dim_product", layout("dim_product")).select("product_sk", "product_id")
+    customer = lake.snapshot("dim_customer", layout("dim_customer")).select("customer_sk", "customer_id")
+    return facts.join(product, "product_sk").join(customer, "customer_sk").select(
+        "order_id", "date_id", "customer_id", "product_id", "quantity", "region")
+
+
 @query("src01_csv_scan", """
 select transaction_id, store_id, product_id, quantity, timestamp, cast(sale_amount as double) as sale_amount from pos""")
 def csv_scan(feeds):

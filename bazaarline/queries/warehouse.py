@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import uuid
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -10,8 +13,9 @@ from ..operators import audit, facts, rows, scd
 from ..operators.asof import asof_merge
 from ..operators.keys import assign_sk
 from ..plans import reports
-from ..plans.warehouse import CUSTOMER_COMPARE, PRODUCT_COMPARE, PRICE_TOLERANCE, merge_customers, merge_products
-from ..session import materialise
+from ..plans.warehouse import CUSTOMER_COMPARE, PRODUCT_COMPARE, PRICE_TOLERANCE, merge_customers, merge_dimension, merge_products
+from ..session import materialise, shared_dir
+from ..sources.lake import Lake
 from .registry import query
 
 LOAD_TS = "2001-01-01 00:00:00"
@@ -55,6 +59,24 @@ def wh02(feeds):
     return products_second(feeds).drop("product_sk")
 
 
+def _in_buckets(feeds, table, *deliveries):
+    """The dimension after the deliveries, each merged into the stored buckets it touches."""
+    lake = Lake(feeds.spark, os.path.join(shared_dir(feeds.spark), "bazaarline", f"lake-{uuid.uuid4().hex}"))
+    for delivery in deliveries:
+        merge_dimension(lake, table, feeds.view(delivery), LOAD_TS, bucket_rows=1_000)
+    return lake.snapshot(table, schemas.layout(table))
+
+
+@query("wh01_scd2_customers_buckets", f"select {CUST_COLS} from o_cust_second")
+def wh01_buckets(feeds):
+    return _in_buckets(feeds, "dim_customer", "crm_first", "crm_second").drop("customer_sk")
+
+
+@query("wh02_scd2_products_buckets", f"select {PROD_COLS} from o_prod_second")
+def wh02_buckets(feeds):
+    return _in_buckets(feeds, "dim_product", "products_first", "products_second").drop("product_sk")
+
+
 @query("wh03_scd2_null_aware", """
 select customer_id, customer_name, segment, acquisition_channel, signup_date, effective_date,
        case when customer_id in (select customer_id from o_cust_changed_null) then TS('2001-01-01 00:00:00') else end_date end as end_date,

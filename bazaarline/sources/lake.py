@@ -8,6 +8,8 @@ from collections.abc import Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
+from .buckets import BucketTable
+
 
 class Lake:
     """``Lake(spark, root)`` reads and writes ``root/<layer>/<name>``.
@@ -77,7 +79,12 @@ class Lake:
         return found
 
     def snapshot(self, name: str, schema) -> DataFrame:
-        """Newest committed version of a snapshot table, or an empty table."""
+        """Newest committed version of a snapshot table, or an empty table. A table in buckets is read by its manifest."""
+        if self.exists("warehouse", f"{name}/manifest"):
+            in_buckets = BucketTable(self, name, "", "", schema)
+            manifest = in_buckets.manifest()
+            if manifest.version:
+                return in_buckets.read(manifest)
         versions = [v for v, published in self._versions(name).items() if published]
         if not versions:
             return self.spark.createDataFrame([], schema)
