@@ -111,6 +111,20 @@ def test_overlap_pairs_against_brute_force(spark, seed):
     assert rows(scd.overlap_pairs(dim, "k")) == sorted(want.items())
 
 
+def test_overlaps_of_very_many_inverted_versions(spark):
+    """10^5 versions that end before they start beside 10^5 others of the same key: 10^10 pairs, were they compared."""
+    n = 100_000
+    at = lambda minutes: F.timestamp_seconds(1_700_000_000 + 60 * minutes).cast("timestamp_ntz")
+    i = F.col("id")
+    inverted = spark.range(n).select(F.lit(1).alias("k"), at(i + 1).alias("effective_date"), at(i).alias("end_date"))
+    proper = spark.range(n).select(F.lit(1).alias("k"), at(F.lit(-1)).alias("effective_date"), at(i).alias("end_date"))
+    other = spark.createDataFrame([(2, datetime(2024, 1, 1), None), (2, datetime(2024, 2, 1), None)],
+                                  "k int, effective_date timestamp_ntz, end_date timestamp_ntz")
+    got = dict(rows(scd.overlap_pairs(inverted.unionByName(proper).unionByName(other), "k")))
+    # an inverted version i meets the others that end after minute i + 1; those all meet one another
+    assert got == {1: sum(n - 1 - (j + 1) for j in range(n - 1)) + n * (n - 1) // 2, 2: 1}
+
+
 def test_salted_join_equals_plain_join(spark):
     rng = random.Random(1)
     left = spark.createDataFrame([(i, rng.choice([7, 7, 7, 1, 2, 3, None])) for i in range(400)], "i int, k int")
