@@ -162,7 +162,7 @@ def page_evidence(pages: DataFrame, page_id: str = "page_id", url: str = "url",
                         host.alias("host")).mapInArrow(run, "id long, text string, declared string, host string")
     labels = F.split("host", r"\.")
     return rows.withColumn("suffix", F.when(F.size(labels) > 1, F.element_at(labels, -1))) \
-        .withColumn("parent", F.when(F.size(labels) > 2, F.array_join(F.slice(labels, 2, 64), "."))
+        .withColumn("parent", F.when(F.size(labels) > 2, F.array_join(F.slice(labels, F.lit(2), F.size(labels) - 1), "."))
                     .otherwise(F.col("host")))
 
 

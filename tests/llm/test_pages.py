@@ -19,3 +19,10 @@ from bazaarline.llm import language
 ])
 def test_text_of_articles(page, words):
     assert language.page_text(page).split() == words.split()
+
+
+def test_parent_of_a_host_with_very_many_labels(spark):
+    host = ".".join(["a"] * 90) + ".example.org"
+    pages = spark.createDataFrame([(1, f"http://{host}/x", "<html></html>")], "page_id long, url string, html string")
+    row = language.page_evidence(pages).first()
+    assert row.host == host and row.parent == host[2:]

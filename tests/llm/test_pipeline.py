@@ -111,3 +111,11 @@ def test_every_stage_and_the_whole(spark, tmp_path):
     assert Counter((r.doc_id, r.n_tokens, r.ids_crc32) for r in out) == want
     out = corpus_pipeline.run(spark, folder).collect()
     assert Counter((r.doc_id, r.n_tokens, r.ids_crc32) for r in out) == want
+
+
+def test_run_on_empty_tables(spark, tmp_path):
+    empty = {"documents": "doc_id long, text string, lang string, source string, n_chars long",
+             "labels": "doc_id long, quality long, toxic long", "benchmark": "item_id long, text string"}
+    for name, schema in empty.items():
+        spark.createDataFrame([], schema).write.parquet(f"file:{tmp_path}/{name}.parquet")
+    assert corpus_pipeline.run(spark, f"file:{tmp_path}").count() == 0
