@@ -21,7 +21,7 @@ from ..operators.profile import infer_types, profile
 from ..operators.scorecard import scorecard
 from ..sources.files import CORRUPT, POSITION, read_source
 from ..sources.lake import Lake
-from ..sources.tables import load_custom
+from ..sources.tables import custom_name, load_custom
 from .medallion import run_medallion
 
 
@@ -41,6 +41,16 @@ def _headers(spark: SparkSession, frames: Mapping[str, DataFrame]) -> DataFrame:
     return spark.createDataFrame(rows, "dataset string, filename string, position int, column string")
 
 
+def _no_clash(ledger: Ledger, unknown: list[str]) -> None:
+    """Stop before anything is written if two files, of this folder or of an earlier one, would become the same table."""
+    owners = {custom_name(r["dataset_name"]): r["dataset_name"] for r in ledger.registry().where(
+        "last_run_id = 'custom_import'").select("dataset_name").collect()}  # one short row per unclassified upload
+    for name in unknown:
+        owner = owners.setdefault(custom_name(name), name)
+        if owner != name:
+            raise ValueError(f"{owner} and {name} would both become {custom_name(name)}; rename one of them")
+
+
 def onboard(spark: SparkSession, lake: Lake, upload_dir: str, run_id: str, load_ts: str | datetime,
             type_override: Mapping[str, str] | None = None,
             mapping_override: Mapping[str, Mapping[str, str]] | None = None,
@@ -60,6 +70,7 @@ def onboard(spark: SparkSession, lake: Lake, upload_dir: str, run_id: str, load_
     types = {name: (type_override or {}).get(name, detected[name]["detected_type"]) for name in frames}
     typed = headers.join(F.broadcast(spark.createDataFrame(list(types.items()), "dataset string, type string")),
                          "dataset")
+    _no_clash(ledger, [name for name, kind in types.items() if kind == "Unknown"])
     mapping: dict[str, dict[str, str | None]] = {name: {} for name in frames}
     chosen = {(r["dataset"], r["field"]): r["column"] for r in ops.map_columns(typed).collect()}
     for name, kind in types.items():

@@ -114,3 +114,13 @@ def test_a_cluster_must_name_its_shared_folder(spark):
         master="spark://host:7077", getConf=lambda: SimpleNamespace(get=lambda k: None)))
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         shared_dir(fake)
+
+
+def test_two_uploads_for_one_table_are_refused(spark, lake, tmp_path):
+    up = tmp_path / "clash"
+    up.mkdir()
+    (up / "Daily Notes.csv").write_text("foo,bar\n1,x\n")
+    (up / "daily-notes.csv").write_text("foo,bar\n2,y\n")
+    with pytest.raises(ValueError, match="custom_daily_notes"):
+        onboard(spark, lake, str(up), "20240101-u", "2024-01-01")
+    assert not spark.catalog.tableExists("custom_daily_notes") and lake.read("bronze", "uploads/Daily Notes") is None
