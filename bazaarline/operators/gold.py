@@ -14,9 +14,13 @@ NO_SALES_DIO = 999.0
 def customer_revenue(erp: DataFrame) -> DataFrame:
     """Revenue, orders and average order value per known customer."""
     revenue = F.col("quantity") * F.col("unit_price")
-    per = erp.filter(F.col("customer_id").isNotNull()).groupBy("customer_id").agg(
+    return with_order_value(erp.filter(F.col("customer_id").isNotNull()).groupBy("customer_id").agg(
         F.coalesce(F.sum(revenue), F.lit(0)).alias("total_revenue"),
-        F.count("order_id").alias("total_orders"))
+        F.count("order_id").alias("total_orders")))
+
+
+def with_order_value(per: DataFrame) -> DataFrame:
+    """Average order value beside the sums of each customer."""
     total = F.col("total_revenue").cast("double")
     aov = F.when(F.col("total_orders") > 0, total / F.col("total_orders")).otherwise(
         F.when(total != 0, F.signum(total) * F.lit(float("inf"))).otherwise(F.lit(0.0)))
@@ -25,7 +29,11 @@ def customer_revenue(erp: DataFrame) -> DataFrame:
 
 def customer_metrics(erp: DataFrame, crm: DataFrame) -> DataFrame:
     """Every customer with revenue figures, 0 where there is none."""
-    return fn.fill_all_zero(crm.join(customer_revenue(erp), "customer_id", "left"))
+    return customer_figures(crm, customer_revenue(erp))
+
+
+def customer_figures(crm: DataFrame, revenue: DataFrame) -> DataFrame:
+    return fn.fill_all_zero(crm.join(revenue, "customer_id", "left"))
 
 
 def sales_metrics(pos: DataFrame) -> DataFrame:
@@ -33,6 +41,10 @@ def sales_metrics(pos: DataFrame) -> DataFrame:
     daily = pos.filter(F.col("timestamp").isNotNull()).groupBy(F.to_date("timestamp").alias("date")).agg(
         F.coalesce(F.sum("sale_amount"), F.lit(0)).alias("daily_revenue"),
         F.count("transaction_id").alias("daily_transactions"))
+    return with_growth(daily)
+
+
+def with_growth(daily: DataFrame) -> DataFrame:
     return pct_change(daily, "date", "daily_revenue", "revenue_growth_pct")
 
 
@@ -44,15 +56,24 @@ def units_sold(pos: DataFrame) -> DataFrame:
 
 def active_days(pos: DataFrame) -> DataFrame:
     """Completed 24-hour periods between first and last sale, at least 1, as one row."""
-    span = pos.agg(F.min("timestamp").alias("a"), F.max("timestamp").alias("b"))
+    return days_between(pos.agg(F.min("timestamp").alias("a"), F.max("timestamp").alias("b")))
+
+
+def days_between(span: DataFrame) -> DataFrame:
+    """Completed 24-hour periods from ``a`` to ``b`` of a one-row frame, at least 1."""
     days = fn.whole_days(F.col("a"), F.col("b")).cast("int")
     return span.select(F.greatest(F.lit(1), F.coalesce(days, F.lit(1))).alias("active_days"))
 
 
 def inventory_metrics(inv: DataFrame, pos: DataFrame) -> DataFrame:
     """Turnover, velocity, days of inventory and low-stock flag per stocked product."""
-    merged = fn.fill_all_zero(inv.join(units_sold(pos), ["store_id", "product_id"], "left"))
-    days: Column = active_days(pos).scalar().cast("double")
+    return stock_figures(inv, units_sold(pos), active_days(pos))
+
+
+def stock_figures(inv: DataFrame, units: DataFrame, active: DataFrame) -> DataFrame:
+    """The same from units sold per store and product and the one-row frame of active days."""
+    merged = fn.fill_all_zero(inv.join(units, ["store_id", "product_id"], "left"))
+    days: Column = active.scalar().cast("double")
     sold, stock = F.col("total_qty_sold").cast("double"), F.col("stock_level").cast("double")
     return merged.select(
         "store_id", "product_id", "stock_level", "reorder_point",

@@ -94,7 +94,7 @@ def _append(lake: Lake, new: DataFrame, name: str) -> int:
 
 
 def build_gold(lake: Lake) -> dict[str, str]:
-    """Gold datasets from the silver rows of all runs."""
+    """Gold datasets from the silver rows of all runs, read whole. ``gold_deltas.refresh_gold`` gives the same from one run's rows."""
     erp, crm = clean.silver_current(lake, "erp_orders"), clean.silver_current(lake, "crm_customers")
     pos, inv = clean.silver_current(lake, "pos_transactions"), clean.silver_current(lake, "inventory")
     written = {}

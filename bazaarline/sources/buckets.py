@@ -51,8 +51,11 @@ class BucketTable:
     def exists(self) -> bool:
         return self.manifest().version > 0
 
-    def manifest(self) -> Manifest:
+    def manifest(self, pinned: int | None = None) -> Manifest:
+        """The newest manifest, or the one of a given version (0: an empty table)."""
         for version, path in reversed(self._children("manifest", "m=")):
+            if pinned is not None and version != pinned:
+                continue
             fs, marker = self.lake._fs(f"{path}/{self.lake.MARKER}")
             if fs.exists(marker):
                 rows = self.lake.spark.read.parquet(path).collect()  # one row per bucket
@@ -123,9 +126,9 @@ class BucketTable:
             done = self.replace(self.read(done), done, done.entries, 2 * done.buckets)
         return done
 
-    def vacuum(self) -> int:
-        """Remove generations that the newest manifest does not name, and older manifests; returns the generations removed."""
-        manifest = self.manifest()
+    def vacuum(self, pinned: int | None = None) -> int:
+        """Remove generations and manifests other than those of the newest (or a pinned) manifest; returns the generations removed."""
+        manifest = self.manifest(pinned)
         named = {g for g, _, _ in manifest.entries.values()}
         old = [p for g, p in self._children("data", "g=") if g not in named]
         for path in [*old, *[p for m, p in self._children("manifest", "m=") if m != manifest.version]]:
