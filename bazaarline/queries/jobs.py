@@ -8,8 +8,10 @@ import uuid
 from pyspark.sql import functions as F
 
 from ..ledger import Ledger
+from ..operators.clean import write_silver
 from ..operators.quality import NotNull, Unique, run_suite
 from ..plans import reports
+from ..plans.gold_deltas import refresh_gold
 from ..plans.medallion import run_medallion
 from ..schemas import layout
 from ..session import shared_dir
@@ -140,3 +142,45 @@ def quality_log(feeds):
     ledger.log_quality("run", run_suite(feeds.view("erp_raw"), "erp", [NotNull("region"), Unique(("order_id",))]))
     return ledger.table("data_quality_results").select(
         F.col("dataset_name").alias("dataset"), "expectation", "passed", "details")
+
+
+def _gold_in_two_runs(feeds, name: str):
+    """A first run with other figures for three keys of ten and without three more, a second with the right ones: by deltas."""
+    lake = _new_lake(feeds)
+    changed = {"erp_orders": ("order_id", "quantity", feeds.erp()), "pos_transactions": ("transaction_id", "sale_amount", feeds.pos()),
+               "crm_customers": ("customer_id", "segment", feeds.view("crm")), "inventory": ("product_id", "stock_level", feeds.inventory())}
+    pos_days = {"pos_transactions": {"timestamp": F.expr("timestamp - interval 400 days"), "quantity": F.expr("quantity + 5")}}
+    for source, (key, figure, rows) in changed.items():
+        part = F.pmod(F.hash(key), F.lit(10))
+        wrong = {figure: F.lit("none") if figure == "segment" else F.col(figure) + 7, **pos_days.get(source, {})}
+        first = rows.where(part < 7).withColumns({c: F.when(part < 3, v).otherwise(F.col(c)) for c, v in wrong.items()})
+        write_silver(lake, first, source, "run-1")
+    refresh_gold(lake, ["run-1"])
+    for source, (key, _, rows) in changed.items():
+        part = F.pmod(F.hash(key), F.lit(10))
+        write_silver(lake, rows.where((part < 3) | (part >= 7)), source, "run-2")
+    refresh_gold(lake, ["run-2"])
+    return lake.read("gold", name)
+
+
+@query("agg01_customer_metrics_deltas", """
+select customer_id, customer_name, segment, acquisition_channel, signup_date, cast(total_revenue as double) as total_revenue,
+       total_orders, average_order_value from o_customer_metrics""")
+def customer_metrics_deltas(feeds):
+    return _gold_in_two_runs(feeds, "customer_metrics").withColumns({  # silver keeps dates as instants
+        "total_revenue": F.col("total_revenue").cast("double"), "signup_date": F.col("signup_date").cast("date")})
+
+
+@query("agg02_sales_metrics_deltas", """
+select date, cast(daily_revenue as double) as daily_revenue, daily_transactions,
+       round(revenue_growth_pct, 6) as revenue_growth_pct from o_sales_metrics""")
+def sales_metrics_deltas(feeds):
+    return _gold_in_two_runs(feeds, "sales_metrics").withColumns({
+        "daily_revenue": F.col("daily_revenue").cast("double"), "revenue_growth_pct": F.round("revenue_growth_pct", 6)})
+
+
+@query("agg05_inventory_metrics_deltas", """
+select store_id, product_id, stock_level, reorder_point, stock_turnover, inventory_velocity,
+       days_inventory_outstanding, low_stock_alert from o_inventory_metrics""")
+def inventory_metrics_deltas(feeds):
+    return _gold_in_two_runs(feeds, "inventory_metrics")
