@@ -1,8 +1,8 @@
-"""Data-quality suites: all rules of a dataset in one pass, plus one grouped count per key rule."""
+"""Data-quality suites: all rules of a dataset, key rules too, in one scan and one grouped count."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -72,10 +72,45 @@ def _missing(df: DataFrame, name: str) -> Column:
     return col.isNull()
 
 
-def duplicate_rows(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Rows beyond the first of their key, as one row ``duplicates``. Counts combine before the shuffle."""
-    return df.groupBy(*[F.col(f"`{c}`") for c in cols]).agg(F.count(F.lit(1)).alias("n")).agg(
-        F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).cast("bigint").alias("duplicates"))
+_WORD_BITS = 62
+
+
+def one_pass(df: DataFrame, flags: Mapping[str, Column], keyed: Sequence[Sequence[str]] = ()) -> DataFrame:
+    """One row ``rows``, the rows each flag holds for, and ``dup:<columns>``, the rows beyond the first of each key.
+
+    The dataset is read once, whatever the number of rules: a row is counted once under the set of flags it raises (a
+    bit each) and once under each key. Tasks combine equal entries before the one shuffle, so a hot key or a common
+    set of flags is one entry a task. Keys are compared in full; missing keys count as one key.
+    """
+    names = list(flags)
+    sets = list(dict.fromkeys(tuple(k) for k in keyed))
+    if not sets:
+        return df.agg(F.count(F.lit(1)).alias("rows"), *[F.count_if(c).alias(n) for n, c in flags.items()])
+    words = []
+    for at in range(0, max(len(names), 1), _WORD_BITS):
+        bits = [F.when(flags[n], F.lit(1 << i)).otherwise(F.lit(0)).cast("bigint") for i, n in enumerate(names[at:at + _WORD_BITS])]
+        words.append(reduce(lambda a, b: a.bitwiseOR(b), bits, F.lit(0).cast("bigint")))
+    columns = list(dict.fromkeys(c for k in sets for c in k))
+    word_names, key_names = [f"__w{i}" for i in range(len(words))], {c: f"__k{i}" for i, c in enumerate(columns)}
+    narrow = df.select(*[w.alias(n) for w, n in zip(words, word_names)], *[F.col(f"`{c}`").alias(n) for c, n in key_names.items()])
+    grouped = [*word_names, *key_names.values()]
+
+    def within(members: Sequence[str]) -> Column:
+        """Whether an entry belongs to this set: Spark numbers a set by the columns it leaves out, the first one highest."""
+        left_out = sum(1 << (len(grouped) - 1 - i) for i, c in enumerate(grouped) if c not in members)
+        return F.col("__set") == left_out
+
+    sets_of_columns = [word_names, *[[key_names[c] for c in k] for k in sets]]
+    entries = narrow.groupingSets([[F.col(c) for c in s] for s in sets_of_columns], *[F.col(c) for c in grouped]).agg(
+        F.grouping_id().alias("__set"), F.count(F.lit(1)).alias("__n"))
+
+    def total(chosen: Column, n: Column) -> Column:
+        return F.coalesce(F.sum(F.when(chosen, n)), F.lit(0)).cast("bigint")
+
+    raised = [within(word_names) & (F.col(word_names[i // _WORD_BITS]).bitwiseAND(F.lit(1 << i % _WORD_BITS)) != 0) for i in range(len(names))]
+    return entries.agg(
+        total(within(word_names), F.col("__n")).alias("rows"), *[total(c, F.col("__n")).alias(n) for n, c in zip(names, raised)],
+        *[total(within(m), F.col("__n") - 1).alias("dup:" + ",".join(k)) for k, m in zip(sets, sets_of_columns[1:])])
 
 
 def _rule_cols(rule: Rule) -> tuple[str, ...]:
@@ -103,27 +138,24 @@ def run_suite(df: DataFrame, dataset: str, rules: Sequence[Rule]) -> DataFrame:
 
     Rules on columns the dataset lacks fail with a note instead of stopping the suite.
     """
-    counters: dict[str, Column] = {"__rows": F.count(F.lit(1))}
-    keyed: dict[tuple[str, ...], Column] = {}
+    flags: dict[str, Column] = {}
+    keyed: list[tuple[str, ...]] = []
     for rule in rules:
         cols = _rule_cols(rule)
         if any(c not in df.columns for c in cols):
             continue
         if isinstance(rule, (NotNull, NullPct)):
-            counters[f"null:{rule.col}"] = F.count_if(_missing(df, rule.col))
+            flags[f"null:{rule.col}"] = _missing(df, rule.col)
         elif isinstance(rule, Between):
             dtype = df.schema[rule.col].dataType
             number = to_number(F.col(f"`{rule.col}`"), dtype)
             outside = (number < rule.lo) | (number > rule.hi)
             if not isinstance(dtype, NumericType):
                 outside = outside | (number.isNull() & ~_missing(df, rule.col))
-            counters[f"range:{rule.col}:{rule.lo}:{rule.hi}"] = F.count_if(outside)
+            flags[f"range:{rule.col}:{rule.lo}:{rule.hi}"] = outside
         elif isinstance(rule, (Unique, DupPct)):
-            keyed.setdefault(cols, None)
-    stats = df.agg(*[c.alias(n) for n, c in counters.items()])
-    if keyed:
-        stats = stats.select("*", *[duplicate_rows(df, cols).scalar().alias("dup:" + ",".join(cols))
-                                    for cols in keyed])
+            keyed.append(cols)
+    stats = one_pass(df, flags, keyed).withColumnRenamed("rows", "__rows")
 
     def n(name: str) -> Column:
         return F.col(f"`{name}`")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import parse_ts
 from ..functions.numbers import percent_score, to_number
 from . import templates
-from .quality import _missing, duplicate_rows
+from .quality import _missing, one_pass
 
 _DEDUCTION = "struct<category:string,points:int,reason:string>"
 
@@ -18,8 +18,7 @@ _DEDUCTION = "struct<category:string,points:int,reason:string>"
 def scorecard(df: DataFrame, dataset_type: str, mapping: Mapping[str, str | None]) -> DataFrame:
     """One row: four 0..100 scores, deductions, quality score and the weighted overall score.
 
-    All counters come from one aggregation over the mapped columns, the key duplicates from
-    one grouped count. An unknown type or an empty mapping scores 100 throughout.
+    All counters and the key duplicates come from one scan (``one_pass``). An unknown type or an empty mapping scores 100 throughout.
     """
     spark = df.sparkSession
     if dataset_type not in templates.TEMPLATES or not mapping:
@@ -33,21 +32,22 @@ def scorecard(df: DataFrame, dataset_type: str, mapping: Mapping[str, str | None
     key = templates.KEYS[dataset_type]
     single = key[0] if len(key) == 1 else None
 
-    counters: dict[str, Column] = {"rows": F.count(F.lit(1))}
+    counters: dict[str, Column] = {}
     for field, col in mapped.items():
         value, dtype = F.col(f"`{col}`"), df.schema[col].dataType
         missing = _missing(df, col)
-        counters[f"null_{field}"] = F.count_if(missing)
+        counters[f"null_{field}"] = missing
         if kinds.get(field) == "date":
-            counters[f"bad_{field}"] = F.count_if(~missing & parse_ts(value, dtype=dtype).isNull())
+            counters[f"bad_{field}"] = ~missing & parse_ts(value, dtype=dtype).isNull()
         elif kinds.get(field) == "numeric" and field != single:
-            counters[f"bad_{field}"] = F.count_if(~missing & to_number(value, dtype).isNull())
+            counters[f"bad_{field}"] = ~missing & to_number(value, dtype).isNull()
         if field in templates.NON_NEGATIVE:
-            counters[f"neg_{field}"] = F.count_if(to_number(value, dtype) < 0)
-    stats = df.agg(*[c.alias(n) for n, c in counters.items()])
+            counters[f"neg_{field}"] = to_number(value, dtype) < 0
     keyed = all(mapped.get(k) for k in key)
+    found = [mapped[k] for k in key] if keyed else []
+    stats = one_pass(df, counters, [found] if keyed else [])
     if keyed:
-        stats = stats.select("*", duplicate_rows(df, [mapped[k] for k in key]).scalar().alias("dups"))
+        stats = stats.withColumnRenamed("dup:" + ",".join(found), "dups")
 
     rows = F.col("rows")
 
