@@ -7,17 +7,21 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .. import functions as fn
 from .. import schemas
 from ..operators import audit, clean, facts, gold, scd
 from ..operators.rows import dedup, upsert
+from ..operators.skew import size_bytes
 from ..session import counted, row_count
 from ..sources.buckets import BucketTable, Manifest
 from ..sources.lake import Lake
+from ..sources.members import LoadedKeys
 from ..sources.tables import publish_gold
 
 CUSTOMER_COMPARE = ["customer_name", "segment", "acquisition_channel"]
 PRODUCT_COMPARE = ["product_name", "category", "unit_price"]
 PRICE_TOLERANCE = 0.001
+FILTER_FROM = 64 * 2**20  # bytes of keys from which a fact keeps filters of them
 
 
 def merge_customers(dim: DataFrame, stg: DataFrame, load_ts: str | datetime, **options) -> DataFrame:
@@ -61,8 +65,23 @@ def merge_dimension(lake: Lake, table: str, stg: DataFrame, load_ts: str | datet
                         first=lake.snapshot(table, stored.schema))
 
 
-def load_facts(lake: Lake, run_id: str) -> dict[str, int]:
-    """Append the run's new facts; returns the number of rows per fact table."""
+def _not_loaded(lake: Lake, batch: DataFrame, name: str, key: str, ts: str, filter_from: int) -> tuple[DataFrame, DataFrame | None]:
+    """Rows whose key the fact lacks, by the fact's stored filters; for a small fact without filters, the batch and the fact to compare with."""
+    existing, members = lake.facts(name, schemas.layout(name)), LoadedKeys(lake, name, key)
+    if not members.exists() and size_bytes(existing.select(key)) <= filter_from:
+        return batch, existing
+    members.compact()
+    fresh = members.unseen(batch)
+    # the calendar's keys are the computed ones, so this is the partition the fact will be in
+    members.add(fresh.select(key, F.floor(fn.date_id(fn.to_second(F.col(ts))) / 100).cast("int").alias("date_month")))
+    return fresh, None
+
+
+def load_facts(lake: Lake, run_id: str, filter_from: int = FILTER_FROM) -> dict[str, int]:
+    """Append the run's new facts; returns the number of rows per fact table.
+
+    A fact of more than ``filter_from`` bytes of keys gets stored filters (``LoadedKeys``), which later loads keep.
+    """
     pos = lake.read("silver", f"pos_transactions/run_id={run_id}")
     erp = lake.read("silver", f"erp_orders/run_id={run_id}")
     dated = [(df, col) for df, col in ((pos, "timestamp"), (erp, "order_date")) if df is not None]
@@ -74,11 +93,11 @@ def load_facts(lake: Lake, run_id: str) -> dict[str, int]:
     customer = lake.snapshot("dim_customer", schemas.layout("dim_customer"))
     loaded = {}
     if pos is not None:
-        existing = lake.facts("fact_sales", schemas.layout("fact_sales"))
+        pos, existing = _not_loaded(lake, pos, "fact_sales", "transaction_id", "timestamp", filter_from)
         new = facts.fact_sales(pos, product, dim_date, existing, unique=True)
         loaded["fact_sales"] = _append(lake, new, "fact_sales")
     if erp is not None:
-        existing = lake.facts("fact_orders", schemas.layout("fact_orders"))
+        erp, existing = _not_loaded(lake, erp, "fact_orders", "order_id", "order_date", filter_from)
         new = facts.fact_orders(erp, product, customer, dim_date, existing, unique=True)
         loaded["fact_orders"] = _append(lake, new, "fact_orders")
     return loaded

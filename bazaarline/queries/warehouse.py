@@ -16,6 +16,7 @@ from ..plans import reports
 from ..plans.warehouse import CUSTOMER_COMPARE, PRODUCT_COMPARE, PRICE_TOLERANCE, merge_customers, merge_dimension, merge_products
 from ..session import materialise, shared_dir
 from ..sources.lake import Lake
+from ..sources.members import LoadedKeys
 from .registry import query
 
 LOAD_TS = "2001-01-01 00:00:00"
@@ -207,6 +208,20 @@ def jn06(feeds):
     return rows.unseen(pos, loaded, ["transaction_id"]).select("transaction_id")
 
 
+@query("jn06_not_loaded_by_filters", """
+select s.transaction_id from o_pos s
+where not exists (select 1 from o_pos f where f.transaction_id=s.transaction_id and f.timestamp<TS('1998-01-01 00:00:00'))""")
+def jn06_filters(feeds):
+    lake = Lake(feeds.spark, os.path.join(shared_dir(feeds.spark), "bazaarline", f"lake-{uuid.uuid4().hex}"))
+    pos = materialise(feeds.pos().select("transaction_id", F.expr("year(timestamp) * 100 + month(timestamp)").alias("date_month")), "pos")
+    members = LoadedKeys(lake, "fact_sales", "transaction_id")
+    for loaded in (pos.where("date_month < 199601"), pos.where("date_month < 199801")):  # the second load repeats the first
+        fresh = members.unseen(loaded)
+        members.add(fresh)
+        fresh.hint("rebalance", "date_month").write.mode("append").partitionBy("date_month").parquet(lake.path("warehouse", "fact_sales"))
+    return members.unseen(pos).select("transaction_id")
+
+
 @query("jn10_overlapping_versions", """
 select a.product_id, count(*) as pairs from dim_bad_product a join dim_bad_product b
   on a.product_id=b.product_id and a.product_sk<b.product_sk
