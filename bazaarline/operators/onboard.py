@@ -114,42 +114,56 @@ def classify_legacy(columns: DataFrame, minimum: int = LEGACY_MIN) -> DataFrame:
         F.when(known, F.col("b.score")).otherwise(F.lit(0)).alias("confidence_score"))
 
 
+def _named_fields(names: DataFrame, fuzzy: bool) -> DataFrame:
+    """Per type and column name, what the name may stand for: for each field of the type, by its rank, the ``plain`` step
+    that names it and the best ``close`` one (step, rating). Names that stand for nothing are left out.
+
+    This depends on the name alone, not on the dataset, so every distinct name is looked up and rated once.
+    """
+    syn = templates.synonyms_frame(names.sparkSession)
+    fields = syn.select("type", "field", "field_rank").distinct()
+    steps = fields.select("type", "field_rank", F.col("field").alias("synonym"), F.lit(0).alias("step"),
+                          F.lit(FIELD_CUTOFF).alias("cutoff")) \
+        .unionByName(syn.select("type", "field_rank", "synonym", (F.col("syn_rank") + 1).alias("step"),
+                                F.lit(SYNONYM_CUTOFF).alias("cutoff")))
+    pairs = names.select("type", "column").dropna().distinct().join(F.broadcast(steps), "type")
+    ratio = similarity(F.col("synonym"), F.col("column")) if fuzzy else F.lit(None).cast("double")
+    rated = pairs.withColumns({"plain": _normal(F.col("column")) == F.col("synonym"), "ratio": ratio})
+    close = F.struct((-F.col("step")).alias("step"), "ratio")
+    options = []
+    for rank in range(max(len(f) for f in templates.TEMPLATES.values())):
+        mine = F.col("field_rank") == rank
+        options += [F.min(F.when(mine & F.col("plain"), F.col("step"))).alias(f"plain_{rank}"),
+                    F.max(F.when(mine & (F.col("ratio") >= F.col("cutoff")), close)).alias(f"close_{rank}")]
+    return rated.where("plain or ratio >= cutoff").groupBy("type", "column").agg(*options)
+
+
 def map_columns(columns: DataFrame, fuzzy: bool = True) -> DataFrame:
     """Column chosen for every template field of a dataset: ``(dataset, type, field, column, how)``.
 
     ``columns`` holds (dataset, type, position, column). Order of preference: same name,
     synonyms in order, then (``fuzzy``) a close match of the field name, then of its synonyms.
-    Each step picks a minimum per dataset and field, so it combines before the shuffle.
+    Names are rated apart from the datasets, and each field is a minimum or maximum in one aggregation per dataset, so
+    the pairs of columns and fields are never rows.
     """
-    spark = columns.sparkSession
-    syn = templates.synonyms_frame(spark)
-    fields = syn.select("type", "field", "field_rank").distinct()
-    exact = fields.select("type", "field", F.col("field").alias("synonym"), F.lit(-1).alias("syn_rank"))
-    targets = F.broadcast(exact.unionByName(syn.select("type", "field", "synonym", "syn_rank")))
-    names = columns.filter(F.col("type").isin(list(templates.TEMPLATES)))
-    plain = names.withColumn("synonym", _normal(F.col("column"))).join(targets, ["type", "synonym"]) \
-        .groupBy("dataset", "type", "field").agg(
-            F.min_by(F.struct("column", F.when(F.col("syn_rank") < 0, "exact").otherwise("synonym").alias("how")),
-                     F.struct("syn_rank", "position")).alias("m"))
-    wanted = names.select("dataset", "type").distinct().join(F.broadcast(fields), "type")
-    mapped = wanted.join(plain, ["dataset", "type", "field"], "left")
-    if not fuzzy:
-        return mapped.select("dataset", "type", "field", F.col("m.column").alias("column"),
-                             F.col("m.how").alias("how"))
-
-    lacking = mapped.filter(F.col("m").isNull()).select("dataset", "type", "field")
-    close = exact.select("type", "field", "synonym", F.lit(0).alias("step"), F.lit(FIELD_CUTOFF).alias("cutoff")) \
-        .unionByName(syn.select("type", "field", "synonym", (F.col("syn_rank") + 1).alias("step"),
-                                F.lit(SYNONYM_CUTOFF).alias("cutoff")))
-    pairs = spread_join(names, lacking, ["dataset", "type"]).join(F.broadcast(close), ["type", "field"])
-    # the rating of two names does not depend on the dataset: each pair of names is rated once
-    ratings = pairs.select("synonym", "column").distinct().withColumn("ratio", similarity(F.col("synonym"), F.col("column")))
-    rated = pairs.join(ratings, ["synonym", "column"]).filter("ratio >= cutoff")
-    fuzzed = rated.groupBy("dataset", "type", "field").agg(
-        F.max_by("column", F.struct(-F.col("step"), F.col("ratio"), F.col("column"))).alias("fuzzy_column"))
-    return mapped.join(fuzzed, ["dataset", "type", "field"], "left").select(
-        "dataset", "type", "field", F.coalesce("m.column", "fuzzy_column").alias("column"),
-        F.coalesce("m.how", F.when(F.col("fuzzy_column").isNotNull(), F.lit("fuzzy"))).alias("how"))
+    names = columns.filter(F.col("type").isin(list(templates.TEMPLATES))).select("dataset", "type", "position", "column")
+    known = spread_join(names, _named_fields(names, fuzzy), ["type", "column"], "left")
+    picks = []
+    for rank in range(max(len(f) for f in templates.TEMPLATES.values())):
+        plain, close = F.col(f"plain_{rank}"), F.col(f"close_{rank}")
+        picks += [F.min(F.when(plain.isNotNull(), F.struct(plain.alias("step"), "position", "column"))).alias(f"plain_{rank}"),
+                  F.max(F.when(close.isNotNull(), F.struct(close.alias("close"), "column"))).alias(f"close_{rank}")]
+    chosen = None
+    for name, fields in templates.TEMPLATES.items():
+        rows = []
+        for rank, field in enumerate(fields):
+            plain, close = F.col(f"plain_{rank}"), F.col(f"close_{rank}")
+            how = F.when(plain["step"] == 0, "exact").when(plain.isNotNull(), "synonym").when(close.isNotNull(), "fuzzy")
+            there = F.col("dataset").isNotNull()  # columns of no dataset are given to none
+            rows.append(F.struct(F.lit(field).alias("field"), F.when(there, F.coalesce(plain["column"], close["column"])).alias("column"),
+                                 F.when(there, how).alias("how")))
+        chosen = F.when(F.col("type") == name, F.array(*rows)) if chosen is None else chosen.when(F.col("type") == name, F.array(*rows))
+    return known.groupBy("dataset", "type").agg(*picks).select("dataset", "type", F.inline(chosen))
 
 
 @F.pandas_udf(DoubleType())

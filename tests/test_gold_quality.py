@@ -165,6 +165,20 @@ def test_mapping_against_the_standard_library(spark, kind):
     assert got == {str(n): brute_mapping(cols, kind) for n, cols in enumerate(sets)}
 
 
+def test_mapping_is_one_aggregation_of_the_datasets(spark):
+    """Rows without dataset, column or position, repeated rows and an unknown type; the pairs of columns and fields are no rows."""
+    data = [("a", "POS", 1, "transactionid"), ("a", "POS", 2, "Store "), ("a", "POS", 2, "Store "), ("a", "POS", None, None), ("a", "POS", 3, "storeid"),
+            ("b", "CRM", None, "id"), ("b", "CRM", 2, "uid"), (None, "POS", 1, "store"), ("c", "Other", 1, "store"), ("d", "POS", 1, None)]
+    df = spark.createDataFrame(data, "dataset string, type string, position int, column string")
+    out = onboard.map_columns(df)
+    assert out._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    got = {(r.dataset, r.type, r.field): (r.column, r.how) for r in out.collect()}
+    assert len(got) == out.count() == 3 * 6 + 5
+    assert {k: v for k, v in got.items() if v != (None, None)} == {
+        ("a", "POS", "store_id"): ("Store ", "synonym"), ("a", "POS", "transaction_id"): ("transactionid", "fuzzy"),
+        ("b", "CRM", "customer_id"): ("id", "synonym")}
+
+
 def test_dependencies_and_impact(spark):
     staged, registry = spark.createDataFrame([("ERP",)], "type string"), spark.createDataFrame([("CRM",)], "type string")
     assert rows(onboard.missing_dependencies(staged, registry), "type", "required") == [("ERP", "Products")]
