@@ -111,6 +111,21 @@ def test_overlap_pairs_against_brute_force(spark, seed):
     assert rows(scd.overlap_pairs(dim, "k")) == sorted(want.items())
 
 
+def test_overlaps_of_short_histories_are_compared_in_place(spark, monkeypatch):
+    at = lambda d: datetime(2024, 1, d)
+    data = [(1, at(1), None), (1, at(5), at(3)), (1, at(4), at(9)), (1, at(4), at(4)), (2, at(1), at(2)), (2, at(2), None),
+            (None, at(1), None), (None, at(1), None), (3, None, at(5)), (3, at(1), at(9)), (4, at(2), at(8)), (4, at(2), at(8))]
+    dim = spark.createDataFrame(data, "k int, effective_date timestamp_ntz, end_date timestamp_ntz")
+    swept = rows(scd.overlap_pairs(dim, "k", wide=0))
+    assert swept == rows(scd.overlap_pairs(dim, "k", wide=2)) == [(1, 3), (4, 1)]
+
+    def never(*_):
+        raise AssertionError("short histories were swept")
+
+    monkeypatch.setattr(scd, "running_by_instant", never)
+    assert rows(scd.overlap_pairs(dim, "k")) == swept
+
+
 def test_overlaps_of_very_many_inverted_versions(spark):
     """10^5 versions that end before they start beside 10^5 others of the same key: 10^10 pairs, were they compared."""
     n = 100_000
