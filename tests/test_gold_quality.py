@@ -176,6 +176,7 @@ def test_mapping_is_one_aggregation_of_the_datasets(spark):
     assert len(got) == out.count() == 3 * 6 + 5
     assert {k: v for k, v in got.items() if v != (None, None)} == {
         ("a", "POS", "store_id"): ("Store ", "synonym"), ("a", "POS", "transaction_id"): ("transactionid", "fuzzy"),
+        ("a", "POS", "timestamp"): ("transactionid", "fuzzy"),
         ("b", "CRM", "customer_id"): ("id", "synonym")}
 
 
