@@ -12,7 +12,7 @@ from ..functions.dates import parse_ts
 from ..functions.numbers import to_number, to_whole
 from ..session import materialise
 from .quality import _missing
-from .skew import fits_broadcast
+from .skew import fits_broadcast, stored
 
 
 def duplicate_row_count(df: DataFrame) -> DataFrame:
@@ -50,7 +50,7 @@ def profile(df: DataFrame) -> DataFrame:
     aggregation gives everything but the duplicates. Rates are rounded half-even to two places.
     """
     data = [f for f in df.schema if not f.name.startswith("_")]
-    body = df.select(*[F.col(f"`{f.name}`") for f in data])
+    body = stored(df.select(*[F.col(f"`{f.name}`") for f in data]), "profiled")  # read three times
     numeric = [f.name for f in data if isinstance(f.dataType, (NumericType, BooleanType))]
     other = [f.name for f in data if f.name not in numeric]
     nulls = sum((F.count_if(_missing(df, f.name)) for f in data), F.lit(0).cast("bigint"))
