@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from bazaarline.ledger import Ledger
 from bazaarline.operators import skew
+from bazaarline.operators.profile import profile
+from bazaarline.plans import gold_deltas
 from bazaarline.plans.medallion import extract
 from bazaarline.queries.registry import Feeds
 from bazaarline.queries.views import VIEWS
@@ -54,6 +56,13 @@ def test_order_feed_is_the_view_with_fewer_joins_of_its_lines(spark):
     assert len([line for line in path if "l_" in line]) == 2
 
 
+def test_profile_makes_its_rows_once(spark):
+    made = spark.sparkContext.accumulator(0)
+    df = _watched(spark.range(40).select((F.col("id") % 10).alias("a")), made)
+    assert profile(df).first()["dup_rate"] == 75.0
+    assert made.value == 40
+
+
 def test_extract_makes_the_rows_of_a_frame_once(spark, lake):
     made = spark.sparkContext.accumulator(0)
     data = [(i, None if i % 5 == 0 else datetime(2001, 1, 1 + i)) for i in range(1, 21)]
@@ -65,3 +74,16 @@ def test_extract_makes_the_rows_of_a_frame_once(spark, lake):
     made.value = 0
     done = extract(spark, lake, {"pos_transactions": df.where("seen = 1 and transaction_id % 5 > 0")}, "s", Watermarks(lake), Ledger(lake))
     assert (done.rows, done.failed, made.value) == (16, 0, 20)
+
+
+def test_gold_keeps_no_copies_of_its_changes(spark, lake, monkeypatch):
+    from bazaarline.operators.clean import write_silver
+
+    stored, labels = gold_deltas.materialise, []
+    monkeypatch.setattr(gold_deltas, "materialise", lambda df, label: labels.append(label) or stored(df, label))
+    stock = spark.createDataFrame([(s, p, 5, 3, datetime(2024, 1, 1)) for s in (1, 2) for p in range(5)],
+                                  "store_id bigint, product_id bigint, stock_level bigint, reorder_point bigint, last_restock_date timestamp_ntz")
+    write_silver(lake, stock, "inventory", "run-1")
+    state = gold_deltas.GoldState(lake).refresh(["run-1"])
+    assert labels == ["gold-changes"]  # before: changes, delta and first rows, each a copy of all
+    assert gold_deltas.GoldState(lake).read("inventory", state).count() == 10
