@@ -83,11 +83,13 @@ def onboard(spark: SparkSession, lake: Lake, upload_dir: str, run_id: str, load_
     layout = schemas.layout("dataset_registry")
 
     def examine(name: str) -> tuple:
-        """Store an upload as it came, profile it and score it; files of one call run side by side."""
+        """Store an upload as it came, profile and score what was stored (its text is not parsed again); files of one call run
+        side by side."""
         df, kind = frames[name], types[name]
         data = df.drop(*POSITION)
-        lake.write(data, "bronze", f"uploads/{os.path.splitext(name)[0]}")
-        facts = profile(df).drop("numeric_fields", "date_fields", "categorical_fields").first()
+        path = lake.write(data, "bronze", f"uploads/{os.path.splitext(name)[0]}")
+        data = spark.read.schema(data.schema).parquet(path)
+        facts = profile(data).drop("numeric_fields", "date_fields", "categorical_fields").first()
         score = None if kind == "Unknown" else \
             scorecard(data, kind, mapping[name]).withColumn("details", F.to_json("deductions")).first()
         return name, facts, score
