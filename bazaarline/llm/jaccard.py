@@ -5,7 +5,7 @@ connects the same documents: pairs within a component that is already linked are
 copies mostly the links to its hub come out, and the number of links of a document says nothing.
 
 1. Every text becomes the set of its 5-word shingles (64-bit hashes); equal sets are one class.
-2. Candidates: with its shingles in one common order, rare ones first, a set that can reach
+2. Candidates: with its shingles in one common order, by a sketch of their counts, rare ones first, a set that can reach
    the similarity with another shares ``COMMON`` of its first quarter (and a few more) with it. These
    are the keys of the tiles; in a tile, sets are sorted by size, and only sizes within the ratio 3/4
    meet. A set that meets others in fewer tiles is alike to none, and goes no further.
@@ -27,6 +27,7 @@ their own. Further columns are ignored. An empty table gives no rows.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,12 +38,13 @@ from pyspark.sql import functions as F
 
 from ..session import materialise
 from .components import components
+from .marks import possible, surely_not
 from .words import Words, mix, packed, shingles, slices, spans
 
 WORDS = 5
 COMMON = 4               # first shingles that sets alike must share
 KEYS = 8                 # pairs of minimum hashes per class
-SKETCH_BITS = 18         # counters of the frequency sketch; a fixed size
+SKETCH_BITS = 20         # counters of the frequency sketch; a fixed size
 PAIRS_HELD = 500_000     # pairs that a task holds before it packs them
 TILE = 32                # classes up to which a tile emits its pairs one by one
 BLOCK = 1_000            # classes of a block of bitmaps
@@ -124,10 +126,10 @@ def profile(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.zeros(rows, np.int32)), batch.column("doc_id"), pa.array(n), pa.array(f),
                  pa.nulls(rows, pa.binary())], names=_PROFILE)
-        parts = counts.astype(np.uint32).reshape(16, -1)
+        parts = [_deflated(part) for part in counts.reshape(16, -1)]
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.ones(16, np.int32)), pa.nulls(16, pa.int64()), pa.array(np.arange(16)), pa.array(np.zeros(16, np.int64)),
-             pa.array([p.tobytes() for p in parts], pa.binary())], names=_PROFILE)
+             pa.array(parts, pa.binary())], names=_PROFILE)
 
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     return materialise(rows.mapInArrow(run, "kind int, doc_id long, n long, f long, counts binary"), "shingle-profile")
@@ -136,25 +138,40 @@ def profile(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
 _PROFILE = ["kind", "doc_id", "n", "f", "counts"]
 
 
-def _levels(profiled: DataFrame) -> np.ndarray:
-    """A rank per sketch counter, 0 for ordinary ones, higher for those with frequent shingles.
-    A table of ``2 ** SKETCH_BITS`` bytes, whatever the input."""
+def _deflated(counts: np.ndarray) -> bytes:
+    """Counts of one task, low bytes first; beyond 65,535 they only say that a shingle is frequent."""
+    return zlib.compress(np.minimum(counts, 0xFFFF).astype("<u2").view(np.uint8).reshape(-1, 2).T.tobytes(), 1)
+
+
+def _inflated(part: bytes) -> np.ndarray:
+    low, high = np.frombuffer(zlib.decompress(part), np.uint8).reshape(2, -1)
+    return low.astype(np.int64) + 256 * high.astype(np.int64)
+
+
+def _levels(profiled: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Per sketch counter its rank among all by count, in 256 steps, and how far it is above ordinary ones (0: not).
+    Two tables of ``2 ** SKETCH_BITS`` bytes, whatever the input.
+
+    Ranks tell a shingle of a few dozen texts from one of few, which the distance from ordinary counters, some hundreds in a
+    large corpus, cannot: else such shingles fill the tiles and tie texts by chance.
+    """
     def add(frame: pd.DataFrame) -> pd.DataFrame:
         total = np.zeros((1 << SKETCH_BITS) // 16, np.int64)
         for part in frame["counts"]:
-            total += np.frombuffer(part, np.uint32)
+            total += _inflated(part)
         return pd.DataFrame({"n": frame["n"].iloc[:1], "counts": [total.tobytes()]})
 
     rows = profiled.where("kind = 1").select("n", "counts").groupBy("n").applyInPandas(add, "n long, counts binary").collect()
     counts = np.concatenate([np.frombuffer(r.counts, np.int64) for r in sorted(rows, key=lambda r: r.n)]) if rows \
         else np.zeros(1 << SKETCH_BITS, np.int64)
     usual = np.median(counts) + 8 * np.sqrt(counts.mean() + 1)
-    return np.minimum(255, np.maximum(0, counts / usual - 0.5) * 8).astype(np.uint8)
+    steps = np.quantile(counts[counts > 0], np.arange(1, 256) / 256) if counts.any() else np.zeros(0)
+    return np.searchsorted(steps, counts).astype(np.uint8), np.minimum(255, np.maximum(0, counts / usual - 0.5) * 8).astype(np.uint8)
 
 
 # pass 2: prefixes, dealt over buckets in packed arrays ----------------------------------------
 
-def prefixes(docs: DataFrame, levels: np.ndarray, buckets: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def prefixes(docs: DataFrame, ranks: np.ndarray, buckets: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(bucket, rest, f, n): the first shingles of every class, packed per bucket and batch. ``rest``
     has 32 bits of the hash beyond the bucket; a chance agreement is only one more candidate."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -171,11 +188,9 @@ def prefixes(docs: DataFrame, levels: np.ndarray, buckets: int, doc_id: str = "d
                 at = spans(n[new], of[:-1][new])
                 values, sizes, f = values[at], n[new], f[new]
                 doc = np.repeat(np.arange(len(sizes)), sizes)
-                level = levels[(values >> _U(64 - SKETCH_BITS)).astype(np.int64)]
-                # rows are sorted by (doc, hash); only documents with frequent shingles need a new order
-                if level.any():
-                    order = np.lexsort((level, doc))
-                    values = values[order]
+                rank = ranks[(values >> _U(64 - SKETCH_BITS)).astype(np.int64)]
+                # rows are sorted by (doc, hash): now by (doc, rank, hash)
+                values = values[np.argsort(doc * 256 + rank, kind="stable")]
                 take = prefix_length(sizes)
                 starts = np.r_[0, np.cumsum(sizes)[:-1]] if len(sizes) else np.zeros(0, np.int64)
                 values, doc = values[spans(take, starts)], np.repeat(np.arange(len(sizes)), take)
@@ -194,8 +209,8 @@ def prefixes(docs: DataFrame, levels: np.ndarray, buckets: int, doc_id: str = "d
     return rows.mapInArrow(run, "bucket int, rest binary, f binary, n binary")
 
 
-def tiles(packed_rows: DataFrame, buckets: int) -> DataFrame:
-    """Stored (tile, f, n): classes that share a first shingle with one of a near size."""
+def tiles(packed_rows: DataFrame, buckets: int, most: int = TILE) -> DataFrame:
+    """Stored (tile, f, n, wide): classes that share a first shingle with one of a near size, and whether they are more than ``most``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list] = {}
         for batch in batches:
@@ -213,12 +228,14 @@ def tiles(packed_rows: DataFrame, buckets: int) -> DataFrame:
             keep = np.zeros(len(rest), bool)
             keep[1:] |= meets
             keep[:-1] |= meets
+            rest, f, n = rest[keep], f[keep], n[keep]
+            _, number, size = np.unique(rest, return_inverse=True, return_counts=True)
             yield pa.RecordBatch.from_arrays(
-                [pa.array((np.int64(bucket) << 32) | rest[keep].astype(np.int64)), pa.array(f[keep]), pa.array(n[keep])],
-                names=["tile", "f", "n"])
+                [pa.array((np.int64(bucket) << 32) | rest.astype(np.int64)), pa.array(f), pa.array(n), pa.array((size > most)[number])],
+                names=["tile", "f", "n", "wide"])
 
     dealt = packed_rows.repartitionById(buckets, F.col("bucket"))
-    return materialise(dealt.mapInArrow(run, "tile long, f long, n long"), "tiles")
+    return materialise(dealt.mapInArrow(run, "tile long, f long, n long, wide boolean"), "tiles")
 
 
 # comparing ---------------------------------------------------------------------------------
@@ -234,7 +251,7 @@ def _xor_bits(a: bytes, b: bytes) -> int:
 
 
 def bounded(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """The pairs (a, b) that the bit counts leave: the overlap is at most (|A| + |B| - differing) / 2."""
+    """The ``pairs`` (a, b; stored) that the bit counts leave: the overlap is at most (|A| + |B| - differing) / 2."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             na, nb = batch.column("na").to_numpy(), batch.column("nb").to_numpy()
@@ -244,8 +261,8 @@ def bounded(pairs: DataFrame, classes: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [c.filter(pa.array(keep)) for c in (batch.column("a"), batch.column("b"))], names=["a", "b"])
 
-    left = classes.select(F.col("f").alias("a"), F.col("n").alias("na"), F.col("bits").alias("bits_a"))
-    right = classes.select(F.col("f").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("bits_b"))
+    left = possible(classes, "f", pairs.select("a")).select(F.col("f").alias("a"), F.col("n").alias("na"), F.col("bits").alias("bits_a"))
+    right = possible(classes, "f", pairs.select("b")).select(F.col("f").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("bits_b"))
     return pairs.join(left, "a").join(right, "b").mapInArrow(run, "a long, b long")
 
 
@@ -279,7 +296,8 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
                         found_b.append(f)
             yield pa.RecordBatch.from_arrays([pa.array(found_a, pa.int64()), pa.array(found_b, pa.int64())], names=["a", "b"])
 
-    spread = leaves.unionByName(hubs).join(texts, "f")
+    wanted = pairs.select(F.col("a").alias("f")).unionByName(pairs.select(F.col("b").alias("f")))
+    spread = leaves.unionByName(hubs).join(possible(texts, "f", wanted), "f")
     return materialise(spread.repartition("a", "part").sortWithinPartitions("a", "part", "turn")
                        .select("a", "f", "turn", "text").mapInArrow(run, "a long, b long"), "alike")
 
@@ -303,41 +321,42 @@ def star_pairs(classes: DataFrame) -> DataFrame:
 
 
 def open_tiles(named: DataFrame, lanes: int, most: int = TILE) -> tuple[DataFrame, DataFrame]:
-    """What the tiles (tile, f, n, label) leave open: pairs (a, b) of near sizes that share a small tile and are in no component
+    """What the tiles (tile, f, n, label, wides) leave open: pairs (a, b) of near sizes that share a small tile and are in no component
     together yet, each once; and for large tiles (a, b) edges that tie their classes to families.
 
     A pair meets in many tiles, so pairs travel packed, by a hash, to where their tiles are counted. Sets alike
-    meet in ``COMMON`` tiles at least. If one of these is large, both are in one family and compared there;
-    so a pair that meets in fewer small tiles goes no further. Sets of under ``COMMON`` + 1 shingles
-    may share fewer, and always go on.
+    meet in ``COMMON`` tiles at least. ``wides`` says in how many large tiles a class is, or more: two that meet in small
+    tiles can have no more large ones in common than either is in, so a pair for which both together are too few goes no further.
+    Those that meet in large tiles alone are each in ``COMMON`` of them, and only such classes are tied to families: a large
+    tile in which texts meet by chance ties none. Sets of under ``COMMON`` + 1 shingles may share fewer, and always go on.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [b for b in batches if b.num_rows]
         if not held:
             return
         every = pa.Table.from_batches(held)
-        tile, f, n, label = (every.column(c).to_numpy() for c in ("tile", "f", "n", "label"))
+        tile, f, n, label, wides = (every.column(c).to_numpy() for c in ("tile", "f", "n", "label", "wides"))
         order = np.lexsort((f, n, tile))
-        tile, f, n, label = tile[order], f[order], n[order], label[order]
+        tile, f, n, label, wides = tile[order], f[order], n[order], label[order], wides[order]
         # tiles of one component are done with
         start = np.r_[True, tile[1:] != tile[:-1]]
         number = np.cumsum(start) - 1
         mixed = np.zeros(number[-1] + 1, bool)
         mixed[number[1:][~start[1:] & (label[1:] != label[:-1])]] = True
         large = np.bincount(number) > most
-        wide = (mixed & large)[number]
-        first = f[np.flatnonzero(start)][number]
+        wide = (mixed & large)[number] & (wides >= np.minimum(COMMON, (3 * n + 3) // 4))
         if wide.any():
-            yield _packet(1, first[wide], f[wide], np.full(wide.sum(), COMMON), lanes)
+            _, first, of = np.unique(number[wide], return_index=True, return_inverse=True)
+            yield _packet(1, f[wide][first][of], f[wide], np.full(wide.sum(), COMMON), lanes)
         keep = (mixed & ~large)[number]
-        tile, f, n, label = tile[keep], f[keep], n[keep], label[keep]
+        tile, f, n, label, spare = tile[keep], f[keep], n[keep], label[keep], np.minimum(wides[keep], COMMON)
         at, pairs, few = np.arange(len(tile)), [], np.where(n <= COMMON, COMMON, 1)
         for apart in range(1, most):
             at = at[at + apart < len(tile)]
             near = (tile[at] == tile[at + apart]) & near_sizes(n[at], n[at + apart])
             at = at[near]  # sizes ascend: what is too far apart here stays so
             hit = at[label[at] != label[at + apart]]
-            pairs.append((f[hit], f[hit + apart], few[hit]))
+            pairs.append((f[hit], f[hit + apart], few[hit] + _SPARE * np.minimum(spare[hit], spare[hit + apart])))
             if sum(len(x) for x, *_ in pairs) > PAIRS_HELD:
                 yield _packet(0, *map(np.concatenate, zip(*pairs, strict=True)), lanes)
                 pairs = []
@@ -352,24 +371,27 @@ def open_tiles(named: DataFrame, lanes: int, most: int = TILE) -> tuple[DataFram
             if own:
                 met = np.concatenate([np.frombuffer(x, np.uint8) for k, _, x in rows if k == kind])
                 pair, met = _counted(np.concatenate(own), met)
-                pair = pair[met >= COMMON]
+                pair = pair[met % _SPARE + met // _SPARE >= COMMON]
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(pair), kind, np.int32)), pa.array(pair[:, 0]),
                                                   pa.array(pair[:, 1])], names=["kind", "a", "b"])
 
-    found = named.select("tile", "f", "n", "label").repartitionById(lanes, F.pmod(F.xxhash64("tile"), F.lit(lanes)).cast("int")) \
+    found = named.select("tile", "f", "n", "label", "wides").repartitionById(lanes, F.pmod(F.xxhash64("tile"), F.lit(lanes)).cast("int")) \
         .mapInArrow(run, "kind int, lane int, pairs binary, met binary").repartitionById(lanes, F.col("lane")) \
         .mapInArrow(distinct, "kind int, a long, b long")
     found = materialise(found, "open-tiles")
     return found.where("kind = 0").select("a", "b"), found.where("kind = 1").select("a", "b")
 
 
+_SPARE = 16  # met in small tiles, and this times how many large ones the pair can share: one byte
+
+
 def _counted(pair: np.ndarray, met: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct pairs and the sums of their ``met``, which say no more than "``COMMON`` or more" beyond it."""
     order = np.lexsort((pair[:, 1], pair[:, 0]))
-    pair = pair[order]
+    pair, met = pair[order], met[order].astype(np.int64)
     first = np.flatnonzero(np.r_[True, (pair[1:] != pair[:-1]).any(axis=1)][:len(pair)])
-    sums = np.add.reduceat(met[order].astype(np.int64), first) if len(first) else np.zeros(0, np.int64)
-    return pair[first], np.minimum(sums, COMMON).astype(np.uint8)
+    sums = np.add.reduceat(met % _SPARE, first) if len(first) else np.zeros(0, np.int64)
+    return pair[first], (np.minimum(sums, COMMON) + met[first] // _SPARE * _SPARE).astype(np.uint8)
 
 
 def _packet(kind: int, x: np.ndarray, y: np.ndarray, met: np.ndarray, lanes: int) -> pa.RecordBatch:
@@ -393,7 +415,7 @@ def family_pairs(edges: DataFrame, classes: DataFrame, labels: DataFrame, block:
     whole blocks of bitmaps are compared there: pairs are never rows before their bits are counted.
     """
     family = components(edges).withColumnsRenamed({"node": "f", "label": "family"})
-    rows = family.join(classes.select("f", "n", "bits"), "f").join(labels.withColumnRenamed("node", "f"), "f", "left") \
+    rows = family.join(possible(classes.select("f", "n", "bits"), "f", edges.select("a").union(edges.select("b"))), "f").join(labels.withColumnRenamed("node", "f"), "f", "left") \
         .withColumn("label", F.coalesce("label", "f")) \
         .withColumn("band", F.floor(F.log("n") / F.lit(float(np.log(1.34)))).cast("int"))  # wider than 4/3
     rows = materialise(rows, "families")
@@ -463,19 +485,21 @@ def jaccard_links(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", t
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     profiled = profile(docs)
-    levels = _levels(profiled)
-    tiled = tiles(prefixes(docs, levels, buckets), buckets)
+    ranks, levels = _levels(profiled)
+    tiled = tiles(prefixes(docs, ranks, buckets), buckets, tile)
     members = profiled.where("kind = 0")
     # one document of every class that meets another one in a tile, with its text
     least = F.least(F.lit(COMMON), F.ceil(F.col("n") * 0.75).cast("int"))
-    meeting = tiled.groupBy("f", "n").agg(F.count(F.lit(1)).alias("tiles")).where(F.col("tiles") >= least).select("f")
-    heads = members.where("doc_id is not null and n > 0").groupBy("f").agg(F.min("doc_id").alias("doc_id")).join(meeting, "f")
-    full = described(docs.join(heads, "doc_id").select("f", "text"), levels)
+    meeting = tiled.groupBy("f", "n").agg(F.count(F.lit(1)).alias("tiles"), F.count_if("wide").alias("wides")) \
+        .where(F.col("tiles") >= least).select("f", "wides")
+    heads = materialise(members.where("doc_id is not null and n > 0").groupBy("f").agg(F.min("doc_id").alias("doc_id"))
+                        .join(meeting, "f"), "heads")
+    full = described(possible(docs, "doc_id", heads.select("doc_id")).join(heads, "doc_id").select("f", "text"), levels)
     classes, texts = full.drop("text"), full.select("f", "text")
-    stars = verified(bounded(star_pairs(classes), classes), texts)
+    stars = verified(bounded(materialise(star_pairs(classes), "star-pairs"), classes), texts)
     labels = components(stars)
-    named = classes.select("f").join(labels.withColumnRenamed("node", "f"), "f", "left") \
-        .select("f", F.coalesce("label", "f").alias("label"))
+    named = heads.select("f", "wides").join(labels.withColumnRenamed("node", "f"), "f", "left") \
+        .select("f", "wides", F.coalesce("label", "f").alias("label"))
     pairs, edges = open_tiles(tiled.join(named, "f"), buckets, tile)
     left = bounded(pairs, classes).unionByName(family_pairs(edges, classes, labels, block)).distinct()
     rest = verified(left, texts)
@@ -529,6 +553,11 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
 def one_per_component(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` whose id is the smallest of its component, and those without an id or words.
     Of rows that repeat such an id, with the same text or another, all stay that are heads."""
-    heads = jaccard_components(docs, doc_id, text).where("doc_id = component_id").select(F.col("doc_id").alias("__head")).distinct()
-    kept = docs.where(F.col(doc_id).isNotNull()).join(heads, F.col(doc_id) == F.col("__head")).drop("__head")
-    return kept.unionByName(docs.where(F.col(doc_id).isNull()))
+    of = materialise(jaccard_components(docs, doc_id, text).where("doc_id is not null")
+                     .groupBy("doc_id").agg(F.bool_or(F.col("doc_id") == F.col("component_id")).alias("head")), "heads")
+    heads = of.where("head").select(F.col("doc_id").alias("__head"))
+    others = of.where("not head").select("doc_id")
+    named = docs.where(F.col(doc_id).cast("long").isNotNull())
+    # only texts that seem to be dropped move, to be sure of it
+    doubtful = possible(named, doc_id, others).join(heads, F.col(doc_id) == F.col("__head"), "left_semi")
+    return surely_not(named, doc_id, others).unionByName(doubtful).unionByName(docs.where(F.col(doc_id).isNull()))

@@ -13,7 +13,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from bazaarline.llm import fingerprints, jaccard, language, leaks, lines, mixing, parts, quality, repeats, shards, tokens
+from bazaarline.llm import fingerprints, jaccard, language, leaks, lines, marks, mixing, parts, quality, repeats, shards, tokens
 from bazaarline.llm.components import components
 from bazaarline.llm.words import Words, shingles, windows
 
@@ -211,6 +211,40 @@ def test_pairs_count_their_tiles():
     assert len(jaccard._counted(np.zeros((0, 2), np.int64), np.zeros(0, np.uint8))[0]) == 0
 
 
+def test_chance_tiles_tie_no_families(spark):
+    """Five texts of a large tile that are in it alone, three that share four; a pair of three small tiles and one large, one of two and one."""
+    rows = [(1, f, 100, f, 1) for f in range(10, 15)]
+    rows += [(tile, f, 100, f, 4) for tile in range(2, 6) for f in (20, 21, 22)]
+    rows += [(tile, f, 100, f, 1) for tile in (6, 7, 8) for f in (10, 11)] + [(tile, f, 100, f, 1) for tile in (9, 10) for f in (12, 13)]
+    named = spark.createDataFrame(rows, "tile long, f long, n long, label long, wides long")
+    pairs, edges = jaccard.open_tiles(named, 3, most=2)
+    assert {tuple(r) for r in pairs.collect()} == {(10, 11)}
+    assert {tuple(r) for r in edges.collect()} - {(20, 20)} == {(20, 21), (20, 22)}
+
+
+def test_frequent_shingles_rank_last(spark):
+    """In a large corpus a shingle of 100 texts hardly lifts its counter: it still comes behind nearly all others."""
+    size = 1 << jaccard.SKETCH_BITS
+    counts = np.random.default_rng(3).poisson(1300, size)
+    counts[12345] = 1300 + 150
+    parts = [(1, k, jaccard._deflated(part)) for half in (counts // 2, counts - counts // 2) for k, part in enumerate(half.reshape(16, -1))]
+    ranks, levels = jaccard._levels(spark.createDataFrame(parts, "kind int, n long, counts binary"))
+    assert ranks.dtype == levels.dtype == np.uint8 and len(ranks) == len(levels) == size
+    assert ranks[12345] >= 254 and (np.diff(ranks[np.argsort(counts)].astype(int)) >= 0).all()
+
+
+def test_marks_leave_out_other_rows(spark):
+    keys = spark.createDataFrame([(3 * k,) for k in range(700)] + [(None,), (-5,)], "k long")
+    rows = spark.createDataFrame([(k, f"t{k}") for k in range(-20, 20_000)] + [(None, "none")], "doc_id long, text string")
+    wanted = {r.k for r in keys.collect()} - {None}
+    near, rest = (f(rows, "doc_id", keys) for f in (marks.possible, marks.surely_not))
+    found, others = [r.doc_id for r in near.collect()], [r.doc_id for r in rest.collect()]
+    assert wanted <= set(found) and not wanted & set(others) and None in others
+    assert sorted(found + others, key=str) == sorted([r.doc_id for r in rows.collect()], key=str)
+    assert len(found) < len(wanted) + 0.12 * 20_000
+    assert marks.possible(rows, "doc_id", keys.where("k < -10")).count() == 0
+
+
 def test_bitmaps_bound_the_overlap():
     a, b = " ".join(passage(1, 300)), " ".join(near(passage(1, 300), 3, 12) + passage(5, 400))
     values, of = shingles(Words(pa.array([a, b])))
