@@ -1,3 +1,4 @@
+import os
 import random
 from datetime import datetime, timedelta
 from decimal import Decimal
@@ -7,6 +8,7 @@ import pytest
 from bazaarline.operators import clean
 from bazaarline.plans.gold_deltas import GoldState, refresh_gold
 from bazaarline.plans.warehouse import build_gold
+from bazaarline.session import shared_dir
 from bazaarline.sources.lake import Lake
 from bazaarline import schemas
 from conftest import rows
@@ -115,3 +117,22 @@ def test_a_run_reads_the_buckets_of_its_keys_only(spark, lake):
 def test_empty_lake(spark, tmp_path):
     empty = Lake(spark, f"file:{tmp_path / 'none'}")
     assert refresh_gold(empty, ["r"]) == {} and GoldState(empty).load().version == 0
+
+
+def test_a_replaced_row_is_shuffled_once_and_no_copy_stays(spark, lake):
+    """Old and new rows of a key meet in one shuffle without the text key; what an update writes for itself goes with it."""
+    state, day = GoldState(lake), datetime(2024, 1, 1)
+    work = os.path.join(shared_dir(spark).removeprefix("file:"), "bazaarline")
+    copies = lambda: {f for f in os.listdir(work) if f.startswith("gold-")} if os.path.isdir(work) else set()
+    before = copies()
+    for run, amount in (("a", 1.0), ("b", 2.0)):
+        silver(spark, lake, "pos_transactions", run, [sale(i, day + timedelta(hours=i), amount) for i in range(9)] + [sale(None, day, amount)])
+        silver(spark, lake, "inventory", run, [[1, 1, 10, 5, day], [None, 2, 3, 4, day], [None, None, 3, 4, None]])
+        same_as_rebuilt(spark, lake, [run], state)
+    assert copies() == before
+    logs = state.load().logs["pos_transactions"]
+    old, new = (state.log("pos_transactions", {run: logs[run]}) for run in ("a", "b"))
+    rows_ = state._replaced("pos_transactions", old, new, [])
+    plan = rows_._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "concat_ws" not in plan.split("Exchange hashpartitioning")[1]
+    assert sorted((r.sign, r.sale_amount) for r in rows_.collect()) == [(-1, Decimal(1))] * 10 + [(1, Decimal(2))] * 10
